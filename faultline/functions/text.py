@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from faultline.fixed_values import DESCRIPTION_NOISE, LEGAL_WORDS, OUTCOME_CODES, RECALL_CLASS
 
 _BLANK = r"(?U)[\s\x1c-\x1f]+"
-_EDGE_BLANK = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+_BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
 
 
 def strip(text: Column) -> Column:
     """Remove leading and trailing white space of any kind, not only spaces."""
-    return F.regexp_replace(text, _EDGE_BLANK, "")
+    return F.btrim(text, F.lit(_BLANKS))
 
 
 def squeeze(text: Column) -> Column:

@@ -20,6 +20,7 @@ def rank_versions(
     any_of: Sequence[str] = (),
     present: Column | None = None,
     hot_rows: int = HOT_ROWS,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``followup_rank`` (1 = newest) and ``is_latest_version``; all rows are kept.
 
@@ -37,7 +38,7 @@ def rank_versions(
         order.insert(0, (~present).asc())
         slots.insert(0, ~present)
     ranked = ordered_within(
-        df, [key], order, slots, position="followup_rank", any_of=any_of, counted=present, hot_rows=hot_rows
+        df, [key], order, slots, position="followup_rank", any_of=any_of, counted=present, hot_rows=hot_rows, keys=keys
     )
     return ranked.withColumn("is_latest_version", F.col("followup_rank") == 1)
 

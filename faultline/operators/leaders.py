@@ -9,8 +9,10 @@ similar names vanish with their first leader, so their pairs are never formed.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +24,7 @@ BATCH_GROWTH = 16
 # A batch comes out of a top-k, which ends in one task; this many short names are no burden there.
 LARGEST_BATCH = 131_072
 PAIR_BUDGET = 200_000_000
+PAIRS_IN_TASK = 5_000_000
 
 
 def _distance_limit(total_length: Column, threshold: float) -> Column:
@@ -93,53 +96,51 @@ def _pair_estimate(batch: DataFrame, others: DataFrame, threshold: float) -> int
     return both.agg(F.coalesce(F.sum("pairs"), F.lit(0))).first()[0]
 
 
-def _settle(batch: DataFrame, edges: DataFrame) -> DataFrame:
-    """Leaders of a batch: names without a lower-ranked similar leader, found in a few rounds.
+def _taken(pairs: DataFrame) -> DataFrame:
+    """Names of a batch that are not leaders: (form).
 
-    ``edges`` are (rank, form, other_rank, other) with rank < other_rank inside the batch. A name leads once
-    no undecided lower-ranked neighbour is left; the neighbours of a leader are out.
+    ``pairs`` are the similar pairs inside the batch, at most ``PAIRS_IN_TASK`` of them. They go through one task
+    in rank order; what it keeps in memory are names of the batch.
     """
-    leaders: list[DataFrame] = []
-    undecided = batch
-    while True:
-        waiting = edges.select(F.col("other").alias("form")).distinct()
-        ready = undecided.join(waiting, "form", "left_anti").checkpoint()
-        leaders.append(ready)
-        if edges.isEmpty():
-            break
-        out = edges.join(ready.select("form"), "form", "left_semi").select(F.col("other").alias("form")).distinct()
-        undecided = undecided.join(ready, "form", "left_anti").join(out, "form", "left_anti").checkpoint()
-        left = undecided.select("form")
-        edges = edges.join(left, "form", "left_semi")
-        edges = edges.join(left.withColumnRenamed("form", "other"), "other", "left_semi").checkpoint()
-        if edges.isEmpty():
-            leaders.append(undecided)
-            break
-    return reduce(DataFrame.unionByName, leaders)
+
+    def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out: set[str] = set()
+        for batch in batches:
+            fresh = []
+            for form, other in zip(batch["form"], batch["other"]):
+                # Every pair that could take ``form`` has a lower rank and was seen before.
+                if form not in out and other not in out:
+                    out.add(other)
+                    fresh.append(other)
+            yield pd.DataFrame({"form": fresh})
+
+    ordered = pairs.select("rank", "form", "other").coalesce(1).sortWithinPartitions("rank")
+    return ordered.select("form", "other").mapInPandas(visit, "form string")
 
 
 def greedy_leaders(
     nodes: DataFrame, threshold: float, *, first_batch: int = FIRST_BATCH, growth: int = BATCH_GROWTH,
-    pair_budget: int = PAIR_BUDGET,
+    pair_budget: int = PAIR_BUDGET, pairs_in_task: int = PAIRS_IN_TASK,
 ) -> DataFrame:
     """Leader of every node: (form, leader).
 
     nodes      distinct (form, rank); ``rank`` is any orderable, unique column
     threshold  least similarity, 0-100, on which a leader takes a name
 
-    The batch grows while the candidate pairs stay within ``pair_budget`` and shrinks, down to one name, when
-    they do not. The budget only steers the batch size; it drops no pair.
+    The batch grows while the candidate pairs stay within ``pair_budget`` and the similar pairs inside the batch
+    within ``pairs_in_task``; it shrinks, down to one name, when they do not. The limits only steer the size of
+    the batch; they drop no pair.
     """
     use_checkpoints(nodes.sparkSession)
     undecided = nodes.select("form", "rank").checkpoint()
+    left = undecided.count()
     done: list[DataFrame] = []
     size = first_batch
-    while True:
-        batch = undecided.orderBy("rank").limit(size).checkpoint()
-        taken = batch.count()
-        if taken == 0:
-            break
-        if taken > 1 and _pair_estimate(batch, undecided, threshold) > pair_budget:
+    while left:
+        taken = min(size, left)
+        batch = (undecided.orderBy("rank").limit(taken) if taken < left else undecided).checkpoint()
+        # More than one name per batch only while its pairs fit; a single name is always in order.
+        if taken > 1 and taken * left > pair_budget and _pair_estimate(batch, undecided, threshold) > pair_budget:
             size = max(1, taken // 4)
             continue
         pairs = candidate_pairs(batch, undecided, threshold).withColumn("score", ratio(F.col("form"), F.col("other")))
@@ -149,17 +150,22 @@ def greedy_leaders(
         )
         similar = similar.where("rank < other_rank").checkpoint()
         inside = similar.join(batch.select(F.col("form").alias("other")), "other", "left_semi")
-        leaders = _settle(batch, inside)
-        followers = (
-            similar.join(leaders.select("form"), "form", "left_semi")
+        if taken > 1 and inside.limit(pairs_in_task + 1).count() > pairs_in_task:
+            size = max(1, taken // 4)
+            continue
+        followers = _taken(inside).checkpoint()
+        leaders = batch.join(followers, "form", "left_anti").select("form", F.col("form").alias("leader"))
+        captured = (
+            similar.join(followers, "form", "left_anti")
             .groupBy(F.col("other").alias("form"))
             .agg(F.min_by("form", "rank").alias("leader"))
         )
-        settled = leaders.select("form", F.col("form").alias("leader")).unionByName(followers).checkpoint()
+        settled = leaders.unionByName(captured).checkpoint()
         done.append(settled)
-        if taken < size:
+        if taken == left:
             break
         undecided = undecided.join(settled.select("form"), "form", "left_anti").checkpoint()
+        left = undecided.count()
         size = min(size * growth, LARGEST_BATCH)
     if not done:
         return undecided.select("form", F.col("form").alias("leader"))

@@ -19,17 +19,18 @@ _BUCKETS = 1 << 14
 HOT_ROWS = 4_000_000
 
 
-def hot_buckets(df: DataFrame, key: Sequence[str], hot_rows: int) -> DataFrame:
+def hot_buckets(keys: DataFrame, key: Sequence[str], hot_rows: int) -> DataFrame:
     """Hash buckets that hold more than ``hot_rows`` rows and over four times the mean bucket.
 
     At most a quarter of the buckets can exceed four times the mean, so the result never has more than
-    4,096 rows, whatever the data: that is the bound that allows broadcasting it.
+    4,096 rows, whatever the data: that is the bound that allows broadcasting it. The window sees one row
+    per bucket.
     """
-    loads = df.groupBy(F.pmod(F.xxhash64(*key), F.lit(_BUCKETS)).alias("_bucket")).agg(F.count("*").alias("_load"))
-    mean = loads.agg(F.sum("_load") / _BUCKETS).scalar()
-    return loads.filter((F.col("_load") > hot_rows) & (F.col("_load") > 4 * mean)).select(
-        "_bucket", F.lit(True).alias("_hot")
-    )
+    loads = keys.groupBy(F.pmod(F.xxhash64(*key), F.lit(_BUCKETS)).alias("_bucket")).agg(F.count("*").alias("_load"))
+    total = F.sum("_load").over(Window.partitionBy())
+    marked = loads.withColumn("_total", total)
+    hot = marked.filter((F.col("_load") > hot_rows) & (F.col("_load") * _BUCKETS > 4 * F.col("_total")))
+    return hot.select("_bucket", F.lit(True).alias("_hot"))
 
 
 def ordered_within(
@@ -43,6 +44,7 @@ def ordered_within(
     any_of: Sequence[str] = (),
     counted: Column | None = None,
     hot_rows: int = HOT_ROWS,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """Add order-dependent columns per group of ``key``.
 
@@ -52,12 +54,13 @@ def ordered_within(
     running   output name -> numeric column to add up from the start of the group, current row included
     any_of    boolean columns to replace by "true anywhere in the group"
     counted   only rows where this holds take a position; they must sort before the others
+    keys      a cheaper source of the key columns, to find the hot keys in; any set of hot keys is right
     """
     running = dict(running or {})
     key = list(key)
     bucket = F.pmod(F.xxhash64(*key), F.lit(_BUCKETS))
     # Size-bounded by construction, see hot_buckets.
-    hot = F.broadcast(hot_buckets(df, key, hot_rows))
+    hot = F.broadcast(hot_buckets(df if keys is None else keys, key, hot_rows))
     marked = df.withColumn("_bucket", bucket).join(hot, "_bucket", "left")
     marked = marked.withColumn("_slot", F.when(F.col("_hot"), F.struct(*slots)))
 

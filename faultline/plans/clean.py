@@ -24,55 +24,74 @@ def _placed(records: DataFrame) -> DataFrame:
     return parsed(records).withColumn("_file", file_order(F.col("file")))
 
 
-def has_outcome(v: Column, codes: list[str]) -> Column:
-    """Any patient of the report has an outcome among ``codes``. Null outcomes are ignored."""
-    patients = F.coalesce(F.try_variant_get(v, "$.patient", "array<variant>"), F.array())
-    found = F.exists(
-        patients,
-        lambda p: F.exists(
-            F.coalesce(J.text_list(p, "$.sequence_number_outcome"), F.array().cast("array<string>")),
-            lambda o: F.coalesce(outcome_code(o).isin(codes), F.lit(False)),
+# The fields of a report. A variant holds what may be a string, a list or missing.
+_REPORT = (
+    "mdr_report_key string, date_received string, event_type variant, adverse_event_flag string, "
+    "product_problem_flag string, source_type variant, remedial_action variant, "
+    "device array<struct<device_report_product_code string, brand_name string, generic_name string, "
+    "manufacturer_d_name string>>, patient array<struct<sequence_number_outcome variant>>"
+)
+
+
+def outcome_codes(patients: Column) -> Column:
+    """All outcome codes of a report's patients, as a flat list; nulls drop out."""
+    per_patient = F.transform(
+        F.coalesce(patients, F.array()),
+        lambda p: F.transform(
+            F.coalesce(J.text_list(p["sequence_number_outcome"], "$"), F.array().cast("array<string>")), outcome_code
         ),
     )
-    return F.coalesce(found, F.lit(False))
+    return F.array_compact(F.flatten(per_patient))
+
+
+def _any_of(codes: Column, wanted: list[str]) -> Column:
+    return F.arrays_overlap(codes, F.array(*[F.lit(c) for c in wanted]))
 
 
 def flatten_devices(records: DataFrame) -> DataFrame:
     """One row per device of a report, with the report's outcome flags.
 
     Reports without devices stay as one row with a null ``device_index``: they add no device row but their
-    outcomes still count for other versions of the report.
+    outcomes still count for other versions of the report. Every record is parsed once: what depends on the
+    key is decided inside the generator, as a filter would be pushed down and parse again.
     """
-    v = F.col("v")
-    keyed = _placed(records).withColumn("mdr_report_key", J.text(v, "$.mdr_report_key")).where("mdr_report_key <> ''")
+    r = F.col("r")
+    read = records.select(file_order(F.col("file")).alias("_file"), "pos", F.from_json("record", _REPORT).alias("r"))
     source = F.coalesce(
-        F.try_variant_get(v, "$.source_type", "array<string>"),
-        F.array(F.when(J.is_absent(v, "$.source_type"), F.lit("")).otherwise(J.text(v, "$.source_type"))),
+        F.try_variant_get(r["source_type"], "$", "array<string>"),
+        F.array(F.when(r["source_type"].isNull(), F.lit("")).otherwise(J.text(r["source_type"], "$"))),
     )
-    reports = keyed.select(
+    reports = read.select(
         "_file",
         "pos",
-        "mdr_report_key",
-        J.text(v, "$.date_received").alias("date_received"),
-        F.when(J.is_absent(v, "$.event_type"), F.lit("")).otherwise(J.text(v, "$.event_type")).alias("event_type"),
-        J.text(v, "$.adverse_event_flag").alias("adverse_event_flag"),
-        J.text(v, "$.product_problem_flag").alias("product_problem_flag"),
+        r["mdr_report_key"].alias("mdr_report_key"),
+        r["date_received"].alias("date_received"),
+        F.when(r["event_type"].isNull(), F.lit("")).otherwise(J.text(r["event_type"], "$")).alias("event_type"),
+        r["adverse_event_flag"].alias("adverse_event_flag"),
+        r["product_problem_flag"].alias("product_problem_flag"),
         F.when(F.size(source) > 0, F.element_at(source, 1)).otherwise(F.lit("")).alias("source_type"),
-        J.is_filled(v, "$.remedial_action").alias("remedial_action_flag"),
-        has_outcome(v, DEATH_CODES).alias("has_death"),
-        has_outcome(v, SERIOUS_CODES).alias("has_serious_injury"),
-        F.try_variant_get(v, "$.device", "array<variant>").alias("device"),
+        J.is_filled(r["remedial_action"], "$").alias("remedial_action_flag"),
+        outcome_codes(r["patient"]).alias("_outcomes"),
+        r["device"].alias("_devices"),
+    )
+    devices = F.when(F.size("_devices") > 0, F.col("_devices")).otherwise(F.array(F.lit(None)))
+    rows = reports.select(
+        *[c for c in reports.columns if c != "_devices"],
+        F.posexplode(F.when(F.col("mdr_report_key") != "", devices)).alias("_index", "d"),
     )
-    rows = reports.select(*[c for c in reports.columns if c != "device"], F.posexplode_outer("device").alias("device_index", "d"))
     d = F.col("d")
+    index = F.when(d.isNotNull(), F.col("_index"))
     return rows.select(
-        *[c for c in rows.columns if c != "d"],
-        F.concat_ws("_", "mdr_report_key", F.col("device_index").cast("string")).alias("event_record_id"),
-        J.text(d, "$.device_report_product_code").alias("product_code"),
-        J.text(d, "$.brand_name").alias("brand_name"),
-        J.text(d, "$.generic_name").alias("generic_name"),
-        J.text(d, "$.manufacturer_d_name").alias("manufacturer_d_name"),
+        *[c for c in rows.columns if c not in ("_outcomes", "_index", "d")],
+        index.alias("device_index"),
+        F.concat_ws("_", "mdr_report_key", index.cast("string")).alias("event_record_id"),
+        d["device_report_product_code"].alias("product_code"),
+        d["brand_name"].alias("brand_name"),
+        d["generic_name"].alias("generic_name"),
+        d["manufacturer_d_name"].alias("manufacturer_d_name"),
         F.coalesce(F.col("event_type") == "Malfunction", F.lit(False)).alias("has_malfunction"),
+        _any_of(F.col("_outcomes"), DEATH_CODES).alias("has_death"),
+        _any_of(F.col("_outcomes"), SERIOUS_CODES).alias("has_serious_injury"),
     )
 
 
@@ -90,9 +109,11 @@ def clean_adverse_events(records: DataFrame, *, grain: str = "device", hot_rows:
         }
     )
     flags = ["has_death", "has_serious_injury"]
+    # Hot reports are looked for in the records: only the key is read, nothing else is parsed.
+    keys = records.select(F.get_json_object("record", "$.mdr_report_key").alias("mdr_report_key"))
     ranked = rank_versions(
         typed, tie_break=["_file", "pos", "device_index"], any_of=flags,
-        present=F.col("device_index").isNotNull(), hot_rows=hot_rows,
+        present=F.col("device_index").isNotNull(), hot_rows=hot_rows, keys=keys,
     ).where("device_index IS NOT NULL")
     if grain == "report":
         ranked = rank_versions(ranked.drop("followup_rank", "is_latest_version"), grain="report", hot_rows=hot_rows)

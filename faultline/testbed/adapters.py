@@ -100,7 +100,7 @@ class Tables:
     # Raw records
 
     def event_records(self) -> DataFrame:
-        """One report version per line item, with zero to two devices."""
+        """One report version per line item, with zero to two devices; spread by file, as a scan of files is."""
         return self.shipped().select(
             F.concat(F.lit("/in/"), F.lpad(F.col("l_suppkey").cast("string"), 8, "0"), F.lit(".zip")).alias("file"),
             F.lit(0).alias("member"),
@@ -126,7 +126,7 @@ class Tables:
                     "concat(',\"device_report_product_code\":\"', CAST(l_partkey AS STRING), '\"') END, '}', "
                     "CASE l_linenumber % 3 WHEN 2 THEN ',{\"generic_name\":\"second\"}' ELSE '' END, ']') END", "",
             ).alias("record"),
-        )
+        ).repartition("file")
 
     def recall_records(self) -> DataFrame:
         return self.shipped().where("l_returnflag = 'R'").select(
