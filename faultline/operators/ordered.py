@@ -23,13 +23,14 @@ def hot_buckets(keys: DataFrame, key: Sequence[str], hot_rows: int) -> DataFrame
     """Hash buckets that hold more than ``hot_rows`` rows and over four times the mean bucket.
 
     At most a quarter of the buckets can exceed four times the mean, so the result never has more than
-    4,096 rows, whatever the data: that is the bound that allows broadcasting it. The window sees one row
-    per bucket.
+    4,096 rows, whatever the data: that is the bound that allows broadcasting it. The counters are packed
+    into one row, one entry per bucket, to compare each with the mean.
     """
     loads = keys.groupBy(F.pmod(F.xxhash64(*key), F.lit(_BUCKETS)).alias("_bucket")).agg(F.count("*").alias("_load"))
-    total = F.sum("_load").over(Window.partitionBy())
-    marked = loads.withColumn("_total", total)
-    hot = marked.filter((F.col("_load") > hot_rows) & (F.col("_load") * _BUCKETS > 4 * F.col("_total")))
+    packed = loads.agg(F.sum("_load").alias("_total"), F.collect_list(F.struct("_bucket", "_load")).alias("_loads"))
+    hot = packed.select("_total", F.inline("_loads")).filter(
+        (F.col("_load") > hot_rows) & (F.col("_load") * _BUCKETS > 4 * F.col("_total"))
+    )
     return hot.select("_bucket", F.lit(True).alias("_hot"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faultline.functions.rounding import count_text, percent_text, round_exact
@@ -153,12 +153,14 @@ def check_coverage(df: DataFrame, column: str, reference: DataFrame | None = Non
 def year_changes(df: DataFrame, year: str, count: str | None = None) -> DataFrame:
     """Relative change from each present year to the next present one; a previous 0 gives null.
 
-    The window runs over one row per calendar year, whatever the size of the table.
+    The years are compared as one array, which has one entry per calendar year, whatever the size of the table.
     """
     volume = F.sum(count) if count else F.count("*")
     yearly = df.where(F.col(year).isNotNull()).groupBy(F.col(year).alias("year")).agg(volume.alias("n"))
-    order = Window.orderBy("year")
-    pairs = yearly.select("year", "n", F.lag("year").over(order).alias("prev_year"), F.lag("n").over(order).alias("prev_n"))
+    packed = yearly.agg(F.sort_array(F.collect_list(F.struct("year", "n"))).alias("years"))
+    pairs = packed.select("years", F.posexplode("years").alias("at", "now"))
+    before = F.get("years", F.col("at") - 1)
+    pairs = pairs.select("now.year", "now.n", before["year"].alias("prev_year"), before["n"].alias("prev_n"))
     change = F.when(F.col("prev_n") != 0, F.abs(F.col("n") - F.col("prev_n")).cast("double") / F.col("prev_n").cast("double"))
     return pairs.withColumn("change", change)
 

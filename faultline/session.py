@@ -18,6 +18,8 @@ def local_session(cores: int | str = "*", app: str = "faultline", **conf: str) -
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", "12g")
+        # The first Python worker may take long to import its libraries on a busy machine.
+        .config("spark.python.authenticate.socketTimeout", "60s")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
