@@ -1,27 +1,39 @@
-"""Date parsing: bad text gives null, never an error."""
+"""Date parsing: bad text gives null, never an error.
+
+The shape of the text picks the layout. Trying layouts one after the other would raise and swallow an exception
+per row and failed layout inside the JVM; numeric shapes are even turned into ISO text and cast, which needs no
+formatter at all.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Date-only layouts tried in turn by ``mixed_date``.
-_LAYOUTS = ["yyyyMMdd", "yyyy-MM-dd", "MM/dd/yyyy", "yyyy/MM/dd", "MMM d, yyyy", "MMMM d, yyyy", "d MMM yyyy"]
-_TIMES = [
-    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS][XXX]",
-    "yyyy-MM-dd HH:mm:ss[.SSSSSS][.SSS]",
-    "yyyy-MM",
-    "yyyy",
+_COMPACT = "^[0-9]{8}$"
+_ISO = "^[0-9]{4}(-[0-9]{1,2}(-[0-9]{1,2}([T ][0-9:.+Z -]*)?)?)?$"
+# Other shapes and their layouts.
+_LAYOUTS = [
+    ("^[0-9]{2}/[0-9]{2}/[0-9]{4}$", "MM/dd/yyyy"),
+    ("^[0-9]{4}/[0-9]{2}/[0-9]{2}$", "yyyy/MM/dd"),
+    ("^[A-Za-z]{3} [0-9]{1,2}, [0-9]{4}$", "MMM d, yyyy"),
+    ("^[A-Za-z]{4,} [0-9]{1,2}, [0-9]{4}$", "MMMM d, yyyy"),
+    ("^[0-9]{1,2} [A-Za-z]{3} [0-9]{4}$", "d MMM yyyy"),
 ]
 
 
+def _compact_to_iso(text: Column) -> Column:
+    return F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2))
+
+
 def compact_date(text: Column) -> Column:
     """Strict yyyyMMdd."""
-    return F.try_to_date(text, "yyyyMMdd")
+    return F.when(text.rlike(_COMPACT), _compact_to_iso(text).try_cast("date"))
 
 
 def mixed_date(text: Column) -> Column:
-    """First layout that fits: compact, ISO with or without time, US, spelled month, bare year."""
-    dates = [F.try_to_date(text, layout) for layout in _LAYOUTS]
-    times = [F.try_to_timestamp(text, F.lit(layout)).cast("date") for layout in _TIMES]
-    return F.coalesce(*dates, *times)
+    """Compact, ISO with or without time, bare year or month, US, or with the month spelled out."""
+    out = F.when(text.rlike(_COMPACT), _compact_to_iso(text).try_cast("date")).when(text.rlike(_ISO), text.try_cast("date"))
+    for shape, layout in _LAYOUTS:
+        out = out.when(text.rlike(shape), F.try_to_date(text, layout))
+    return out

@@ -10,11 +10,6 @@ def text(record: Column, path: str) -> Column:
     return F.try_variant_get(record, path, "string")
 
 
-def is_absent(record: Column, path: str) -> Column:
-    """True only if the key is missing; an explicit JSON null is not missing."""
-    return F.try_variant_get(record, path, "variant").isNull()
-
-
 def text_list(record: Column, path: str) -> Column:
     """A field that holds a list of strings or one string, as a list."""
     return F.coalesce(
@@ -32,11 +27,6 @@ def is_filled(record: Column, path: str) -> Column:
     )
 
 
-def first_nested_code(record: Column) -> Column:
-    """First of ``openfda.product_code`` if that is a non-empty list."""
-    return F.try_element_at(F.try_variant_get(record, "$.openfda.product_code", "array<string>"), F.lit(1))
-
-
-def direct_or_nested_code(record: Column) -> Column:
-    """Top-level ``product_code`` unless missing or empty, else the nested one."""
-    return F.coalesce(F.nullif(text(record, "$.product_code"), F.lit("")), first_nested_code(record))
+def first_code(openfda: Column) -> Column:
+    """First of ``product_code`` if the block is an object and the field a non-empty list."""
+    return F.try_element_at(F.try_variant_get(openfda, "$.product_code", "array<string>"), F.lit(1))

@@ -20,10 +20,6 @@ from faultline.sources.records import file_order, parsed
 _PLACE = ["_file", "pos"]
 
 
-def _placed(records: DataFrame) -> DataFrame:
-    return parsed(records).withColumn("_file", file_order(F.col("file")))
-
-
 # The fields of a report. A variant holds what may be a string, a list or missing.
 _REPORT = (
     "mdr_report_key string, date_received string, event_type variant, adverse_event_flag string, "
@@ -123,61 +119,57 @@ def clean_adverse_events(records: DataFrame, *, grain: str = "device", hot_rows:
 
 def recall_code_lookup(records: DataFrame) -> DataFrame:
     """(product_res_number, product_code): the last record wins, trailing dashes go."""
-    pairs = _placed(records).select(
-        *_PLACE,
-        J.text(F.col("v"), "$.product_res_number").alias("product_res_number"),
-        J.text(F.col("v"), "$.product_code").alias("product_code"),
-    )
+    pairs = parsed(records, "product_res_number string, product_code string")
     usable = pairs.where("product_res_number <> '' AND product_code <> ''")
     last = F.max_by(without_trailing_dashes(F.col("product_code")), F.struct(*_PLACE))
     return usable.groupBy("product_res_number").agg(last.alias("product_code"))
 
 
+_RECALL = (
+    "recall_number string, recall_initiation_date string, classification string, openfda variant, "
+    "product_description string, recalling_firm string, reason_for_recall string, status string, "
+    "voluntary_mandated string"
+)
+
+
 def clean_recalls(records: DataFrame, lookup: DataFrame | None = None, settings: Settings = DEFAULTS) -> DataFrame:
     """Raw recall records to one row per recall number. ``lookup`` fills missing product codes."""
-    v = F.col("v")
-    plain = ["recall_number", "product_description", "recalling_firm", "reason_for_recall", "status", "voluntary_mandated"]
-    day = mixed_date(J.text(v, "$.recall_initiation_date"))
-    rows = _placed(records).select(
-        *_PLACE,
-        *[J.text(v, f"$.{c}").alias(c) for c in plain],
-        day.alias("recall_initiation_date"),
-        F.year(day).alias("recall_year"),
-        recall_class(J.text(v, "$.classification")).alias("recall_class"),
-        J.first_nested_code(v).alias("product_code"),
-    )
+    rows = parsed(records, _RECALL).withColumn("recall_initiation_date", mixed_date(F.col("recall_initiation_date")))
+    rows = rows.withColumn("recall_year", F.year("recall_initiation_date"))
     # Window and keep-first come before the lookup join: fewer rows meet it, and filling changes neither.
     kept = keep_first(
         in_years(rows, "recall_year", settings.window_first_year, settings.window_last_year), ["recall_number"], _PLACE
-    )
+    ).withColumns({"recall_class": recall_class(F.col("classification")), "product_code": J.first_code(F.col("openfda"))})
     filled = fill_from_lookup(kept, lookup, "product_code", "recall_number", "product_res_number", "product_code")
     return schemas.conform(filled, schemas.RECALL)
 
 
+_CLEARANCE = (
+    "k_number string, decision_date string, product_code string, openfda variant, applicant string, "
+    "advisory_committee string, clearance_type string, decision_code string"
+)
+
+
 def clean_clearances(records: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """Raw clearance records to one row per clearance number."""
-    v = F.col("v")
-    day = mixed_date(J.text(v, "$.decision_date"))
-    rows = _placed(records).select(
-        *_PLACE,
-        *[J.text(v, f"$.{c}").alias(c) for c in ("k_number", "applicant", "advisory_committee", "clearance_type", "decision_code")],
-        day.alias("decision_date"),
-        F.year(day).alias("decision_year"),
-        J.direct_or_nested_code(v).alias("product_code"),
-    )
+    """Raw clearance records to one row per clearance number.
+
+    The top-level product code counts unless it is missing or empty, else the nested one.
+    """
+    rows = parsed(records, _CLEARANCE).withColumn("decision_date", mixed_date(F.col("decision_date")))
+    rows = rows.withColumn("decision_year", F.year("decision_date"))
     kept = keep_first(
         in_years(rows, "decision_year", settings.window_first_year, settings.window_last_year), ["k_number"], _PLACE
     )
-    named = kept.withColumn("applicant_std", applicant_key(F.col("applicant")))
+    code = F.coalesce(F.nullif("product_code", F.lit("")), J.first_code(F.col("openfda")))
+    named = kept.withColumns({"product_code": code, "applicant_std": applicant_key(F.col("applicant"))})
     return schemas.conform(named, schemas.CLEARANCE)
 
 
+_CLASSIFICATION = ", ".join(f"{name} string" for name in schemas.DIM_PRODUCT.names)
+
+
 def build_dim_product(records: DataFrame) -> DataFrame:
     """Raw classification records to one row per product code."""
-    v = F.col("v")
-    flags = ["implant_flag", "life_sustain_support_flag"]
-    fields = [f.name for f in schemas.DIM_PRODUCT.fields]
-    rows = _placed(records).select(
-        *_PLACE, *[(yes_no(J.text(v, f"$.{c}")) if c in flags else J.text(v, f"$.{c}")).alias(c) for c in fields]
-    )
-    return schemas.conform(keep_first(rows, ["product_code"], _PLACE), schemas.DIM_PRODUCT)
+    first = keep_first(parsed(records, _CLASSIFICATION), ["product_code"], _PLACE)
+    flags = {c: yes_no(F.col(c)) for c in ("implant_flag", "life_sustain_support_flag")}
+    return schemas.conform(first.withColumns(flags), schemas.DIM_PRODUCT)

@@ -169,9 +169,14 @@ def scan_single_document(spark: SparkSession, path: str) -> DataFrame:
     return read_records(spark.read.format("binaryFile").load(path), zipped=False, bare_object=True)
 
 
-def parsed(records: DataFrame) -> DataFrame:
-    """Add the record as a variant; text that is no JSON drops out."""
-    return records.withColumn("v", F.try_parse_json("record")).where("v IS NOT NULL")
+def parsed(records: DataFrame, fields: str) -> DataFrame:
+    """The fields of every record, with its place (_file, pos). Absent fields and JSON nulls are null.
+
+    A record is parsed once, into just these fields. One that may be a list, a string or missing is declared as
+    a variant.
+    """
+    read = records.select(file_order(F.col("file")).alias("_file"), "pos", F.from_json("record", fields).alias("r"))
+    return read.select("_file", "pos", "r.*")
 
 
 def file_order(path: Column) -> Column:
