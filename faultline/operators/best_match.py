@@ -28,7 +28,7 @@ def _letters(tokens) -> np.ndarray:
 
 
 class NameList:
-    """Names prepared for scoring; built once per Python worker."""
+    """Names prepared for scoring; built once per task."""
 
     def __init__(self, names: list[tuple[int, str, str]]):
         self.names = names

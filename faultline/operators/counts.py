@@ -8,10 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _flagged(flag: str) -> Column:
-    return F.count_if(F.col(flag))
-
-
 def in_years(df: DataFrame, year: str, first: int | None, last: int | None) -> DataFrame:
     """Inclusive year window; rows without a year drop out. No bounds, no filter."""
     if first is None or last is None:
@@ -24,47 +20,67 @@ def recall_code() -> Column:
     return F.coalesce("matched_product_code", "product_code")
 
 
-def event_counts(events: DataFrame, key: Sequence[str | Column]) -> DataFrame:
-    """Event counts by key and year. Only ``event_count_dedup`` is limited to latest versions."""
-    return (
-        events.filter(F.col("event_year").isNotNull())
-        .groupBy(*key, F.col("event_year").cast("int").alias("year"))
-        .agg(
-            F.count("*").alias("event_count_raw"),
-            _flagged("is_latest_version").alias("event_count_dedup"),
-            _flagged("has_death").alias("death_related_reports"),
-            _flagged("has_serious_injury").alias("serious_injury_reports"),
-            _flagged("has_malfunction").alias("malfunction_reports"),
-        )
+def _one_if(condition: Column) -> Column:
+    return F.when(condition, 1).otherwise(0).cast("bigint")
+
+
+def event_rows(events: DataFrame, key: Sequence[str | Column]) -> DataFrame:
+    """Events with a year as rows to be summed. Only ``event_count_dedup`` is limited to latest versions."""
+    return events.filter(F.col("event_year").isNotNull()).select(
+        *key,
+        F.col("event_year").cast("int").alias("year"),
+        F.lit(1).cast("bigint").alias("event_count_raw"),
+        _one_if(F.col("is_latest_version")).alias("event_count_dedup"),
+        _one_if(F.col("has_death")).alias("death_related_reports"),
+        _one_if(F.col("has_serious_injury")).alias("serious_injury_reports"),
+        _one_if(F.col("has_malfunction")).alias("malfunction_reports"),
     )
 
 
-def recall_counts(recalls: DataFrame, key: Sequence[str | Column]) -> DataFrame:
-    """Counts of the recalls that belong to the core dashboard, by key and year and per class."""
-    return (
-        recalls.filter(F.col("include_in_core_dashboard") & F.col("recall_year").isNotNull())
-        .groupBy(*key, F.col("recall_year").cast("int").alias("year"))
-        .agg(
-            F.count("*").alias("recall_count"),
-            F.count_if(F.col("recall_class") == "I").alias("class_i_recall_count"),
-            F.count_if(F.col("recall_class") == "II").alias("class_ii_recall_count"),
-            F.count_if(F.col("recall_class") == "III").alias("class_iii_recall_count"),
-        )
+def recall_rows(recalls: DataFrame, key: Sequence[str | Column]) -> DataFrame:
+    """Recalls with a year that belong to the core dashboard, as rows to be summed."""
+    return recalls.filter(F.col("include_in_core_dashboard") & F.col("recall_year").isNotNull()).select(
+        *key,
+        F.col("recall_year").cast("int").alias("year"),
+        F.lit(1).cast("bigint").alias("recall_count"),
+        _one_if(F.col("recall_class") == "I").alias("class_i_recall_count"),
+        _one_if(F.col("recall_class") == "II").alias("class_ii_recall_count"),
+        _one_if(F.col("recall_class") == "III").alias("class_iii_recall_count"),
     )
 
 
-def clearance_counts(clearances: DataFrame, key: Sequence[str | Column]) -> DataFrame:
-    return (
-        clearances.filter(F.col("decision_year").isNotNull())
-        .groupBy(*key, F.col("decision_year").cast("int").alias("year"))
-        .agg(F.count("*").alias("clearance_count"))
+def clearance_rows(clearances: DataFrame, key: Sequence[str | Column]) -> DataFrame:
+    return clearances.filter(F.col("decision_year").isNotNull()).select(
+        *key, F.col("decision_year").cast("int").alias("year"), F.lit(1).cast("bigint").alias("clearance_count")
     )
 
 
+_MEASURES = ("event_count_raw", "event_count_dedup", "death_related_reports", "serious_injury_reports",
+             "malfunction_reports", "recall_count", "class_i_recall_count", "class_ii_recall_count",
+             "class_iii_recall_count", "clearance_count")
+
+
+def sum_counts(rows: DataFrame) -> DataFrame:
+    """Sum the measures over everything else."""
+    key = [c for c in rows.columns if c not in _MEASURES]
+    return rows.groupBy(*key).agg(*[F.sum(c).alias(c) for c in rows.columns if c in _MEASURES])
+
+
+def event_counts(events: DataFrame, key: Sequence[str | Column]) -> DataFrame:
+    return sum_counts(event_rows(events, key))
+
+
+def recall_counts(recalls: DataFrame, key: Sequence[str | Column]) -> DataFrame:
+    return sum_counts(recall_rows(recalls, key))
+
+
+def clearance_counts(clearances: DataFrame, key: Sequence[str | Column]) -> DataFrame:
+    return sum_counts(clearance_rows(clearances, key))
+
+
 def roll_up(counts: DataFrame, key: Sequence[str]) -> DataFrame:
     """Sum a count table to a coarser key; year stays."""
-    measures = [c for c in counts.columns if c.endswith("_count") or c.endswith("_reports") or c.startswith("event_count")]
-    return counts.groupBy(*key, "year").agg(*[F.sum(c).alias(c) for c in measures])
+    return sum_counts(counts.select(*key, "year", *[c for c in counts.columns if c in _MEASURES]))
 
 
 def to_panels(counts: DataFrame, dim: DataFrame) -> DataFrame:

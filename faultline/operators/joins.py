@@ -7,8 +7,9 @@ No side is hinted: Spark broadcasts a side only if its measured size is under
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -40,17 +41,18 @@ def fill_flags(df: DataFrame, flags: DataFrame, key: str, columns: Sequence[str]
     return joined.withColumns({c: F.coalesce(c, F.lit(False)) for c in columns})
 
 
+def stack_counts(parts: Sequence[DataFrame], key: Sequence[str], counts: Sequence[str]) -> DataFrame:
+    """Union of tables with different counts; a count a table does not have is 0."""
+    zero = F.lit(0).cast("bigint")
+    aligned = [part.select(*key, *[F.col(c) if c in part.columns else zero.alias(c) for c in counts]) for part in parts]
+    return reduce(DataFrame.unionByName, aligned)
+
+
 def merge_counts(parts: Sequence[DataFrame], key: Sequence[str], counts: Sequence[str]) -> DataFrame:
-    """Full outer join of count tables on ``key``, missing counts 0, nulls in the key equal.
+    """Full outer join of the sums per ``key``, missing counts 0, nulls in the key equal.
 
-    A union and one sum give the same rows as chained outer joins, with a single shuffle and no null-safe
-    join conditions.
+    A union and one sum give the same rows as aggregates chained by outer joins, with a single shuffle behind
+    map-side sums, and no null-safe join conditions. The parts may be rows to be summed or sums already.
     """
-    key = list(key)
-    columns: list[Column] = []
-    stacked = None
-    for part in parts:
-        columns = [F.col(c) if c in part.columns else F.lit(0).cast("bigint").alias(c) for c in counts]
-        part = part.select(*key, *columns)
-        stacked = part if stacked is None else stacked.unionByName(part)
-    return stacked.groupBy(*key).agg(*[F.sum(c).cast("bigint").alias(c) for c in counts])
+    stacked = stack_counts(parts, key, counts)
+    return stacked.groupBy(*key).agg(*[F.sum(c).alias(c) for c in counts])

@@ -67,14 +67,17 @@ def _metrics(row: DataFrame, source: str, names: list[str]) -> DataFrame:
     return row.select(F.lit(source).alias("source"), F.inline(pairs))
 
 
+def _profile(date: str) -> list[Column]:
+    day = F.col(date).cast("date")
+    return [F.count("*").alias("row_count"), F.min(day).alias("date_min"), F.max(day).alias("date_max")]
+
+
+_PROFILE = ["row_count", "date_min", "date_max"]
+
+
 def source_profile(df: DataFrame, source: str, date: str) -> DataFrame:
     """row_count, and date_min and date_max unless there is no date."""
-    row = df.agg(
-        F.count("*").alias("row_count"),
-        F.min(F.col(date).cast("date")).alias("date_min"),
-        F.max(F.col(date).cast("date")).alias("date_max"),
-    )
-    return _metrics(row, source, ["row_count", "date_min", "date_max"]).where("value IS NOT NULL")
+    return _metrics(df.agg(*_profile(date)), source, _PROFILE).where("value IS NOT NULL")
 
 
 def code_coverage(events: DataFrame, dim: DataFrame) -> DataFrame:
@@ -86,27 +89,30 @@ def code_coverage(events: DataFrame, dim: DataFrame) -> DataFrame:
     )
 
 
-def event_quality(events: DataFrame) -> DataFrame:
+def event_figures(events: DataFrame) -> DataFrame:
+    """Profile and quality of the events, from one pass."""
     row = events.agg(
-        F.count("*").alias("raw_count"),
+        *_profile("date_received"),
         F.count_if("is_latest_version").alias("dedup_count"),
         F.count("product_code").alias("coded"),
         F.count("manufacturer_d_name").alias("named"),
     )
-    raw = F.col("raw_count")
+    raw = F.col("row_count")
     # 1 - latest/raw, in this order: the rounded digit depends on it.
     kept = F.try_divide(F.col("dedup_count").cast("double"), raw.cast("double"))
     rated = row.select(
-        "raw_count",
+        *_PROFILE,
+        raw.alias("raw_count"),
         "dedup_count",
         F.coalesce(round_exact((1 - kept) * 100, 1), F.lit(0.0)).alias("duplicate_rate_pct"),
         _percent(raw - F.col("coded"), raw).alias("missing_product_code_pct"),
         _percent(F.col("named"), raw).alias("manufacturer_fill_rate_pct"),
     )
-    return _metrics(rated, "adverse_events", rated.columns)
+    return _metrics(rated, "adverse_events", rated.columns).where("value IS NOT NULL")
 
 
-def mapping_quality(recalls: DataFrame) -> DataFrame:
+def recall_figures(recalls: DataFrame) -> DataFrame:
+    """Profile and mapping quality of the recalls, from one pass."""
     tiers = {
         "mapping_quality_exact": TIER_EXACT,
         "mapping_quality_high": TIER_HIGH,
@@ -114,12 +120,13 @@ def mapping_quality(recalls: DataFrame) -> DataFrame:
         "mapping_quality_unmapped": TIER_NONE,
     }
     row = recalls.agg(
+        *_profile("recall_initiation_date"),
         *[F.count_if(F.col("mapping_quality") == tier).alias(name) for name, tier in tiers.items()],
         F.count_if("include_in_core_dashboard").alias("core"),
-        F.count("*").alias("total"),
     )
-    rated = row.select(*tiers, _percent(F.col("core"), F.col("total")).alias("core_dashboard_coverage_pct"))
-    return _metrics(rated, "recalls", rated.columns)
+    share = _percent(F.col("core"), F.col("row_count")).alias("core_dashboard_coverage_pct")
+    rated = row.select(*_PROFILE, *tiers, share)
+    return _metrics(rated, "recalls", rated.columns).where("value IS NOT NULL")
 
 
 def app_methodology(
@@ -129,13 +136,11 @@ def app_methodology(
     spark = events.sparkSession
     window = spark.range(1).select(F.lit(settings.year_min).alias("year_min"), F.lit(settings.year_max).alias("year_max"))
     parts = [
-        source_profile(events, "adverse_events", "date_received"),
-        source_profile(recalls, "recalls", "recall_initiation_date"),
+        event_figures(events),
+        recall_figures(recalls),
         source_profile(clearances, "clearances", "decision_date"),
         _metrics(dim.agg(F.count("*").alias("row_count")), "dim_product_code", ["row_count"]),
         code_coverage(events, dim),
-        event_quality(events),
-        mapping_quality(recalls),
         _metrics(window, "analysis_window", ["year_min", "year_max"]),
     ]
     out = parts[0]

@@ -91,7 +91,9 @@ def map_recalls(
     """
     flagged = flag_members(recalls, "product_code", dim, "product_code", "_exact")
     cleaned = flagged.withColumn("_text", F.when(~F.col("_exact"), denoise_description(F.col("product_description"))))
-    texts = cleaned.select("_text").where("_text <> ''").distinct()
+    # Matching is heavy on computing and light on bytes, so it is spread over all cores and not by size.
+    spread = 2 * recalls.sparkSession.sparkContext.defaultParallelism
+    texts = cleaned.select("_text").where("_text <> ''").distinct().repartition(spread, "_text")
     matches = best_match(
         texts, "_text", match_names(dim, order), name="device_name", code="code", place="first_place",
         cutoff=low, block=name_block,

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from faultline.config import DEFAULTS, Settings
 from faultline.functions import kpis
 from faultline.operators.counts import (
-    clearance_counts,
-    event_counts,
+    clearance_rows,
+    event_rows,
     in_years,
     recall_code,
-    recall_counts,
+    recall_rows,
     roll_up,
+    sum_counts,
     to_panels,
 )
 from faultline.operators.joins import enrich, merge_counts
@@ -25,31 +26,35 @@ from faultline.sources.tables import write_table
 _CODE = ["product_code"]
 
 
-def product_counts(events: DataFrame, recalls: DataFrame, clearances: DataFrame, settings: Settings = DEFAULTS) -> list[DataFrame]:
-    """All counts by (product_code, year): the shared base of the panel and product marts."""
+def product_rows(events: DataFrame, recalls: DataFrame, clearances: DataFrame, settings: Settings = DEFAULTS) -> list[DataFrame]:
+    """The facts by (product_code, year), to be summed: the base of the panel and product marts."""
     years = settings.year_min, settings.year_max
     return [
-        event_counts(in_years(events, "event_year", *years), _CODE),
-        recall_counts(in_years(recalls, "recall_year", *years), [recall_code().alias("product_code")]),
-        clearance_counts(in_years(clearances, "decision_year", *years), _CODE),
+        event_rows(in_years(events, "event_year", *years), _CODE),
+        recall_rows(in_years(recalls, "recall_year", *years), [recall_code().alias("product_code")]),
+        clearance_rows(in_years(clearances, "decision_year", *years), _CODE),
     ]
 
 
-def firm_counts(events: DataFrame, recalls: DataFrame, settings: Settings = DEFAULTS) -> list[DataFrame]:
-    """All counts by (manufacturer, product_code, year), the manufacturer possibly null."""
+def firm_rows(events: DataFrame, recalls: DataFrame, settings: Settings = DEFAULTS) -> list[DataFrame]:
+    """The facts by (manufacturer, product_code, year), to be summed; the manufacturer may be null."""
     years = settings.year_min, settings.year_max
     return [
-        event_counts(in_years(events, "event_year", *years), [F.col("manufacturer_d_name").alias("manufacturer"), "product_code"]),
-        recall_counts(
+        event_rows(in_years(events, "event_year", *years), [F.col("manufacturer_d_name").alias("manufacturer"), "product_code"]),
+        recall_rows(
             in_years(recalls, "recall_year", *years),
             [F.col("recalling_firm").alias("manufacturer"), recall_code().alias("product_code")],
         ),
     ]
 
 
+def firm_counts(events: DataFrame, recalls: DataFrame, settings: Settings = DEFAULTS) -> list[DataFrame]:
+    return [sum_counts(rows) for rows in firm_rows(events, recalls, settings)]
+
+
 def panel_year_from(counts: Sequence[DataFrame], dim: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    merged = merge_counts([to_panels(c, dim) for c in counts], ["review_panel", "year"], PANEL_COUNTS)
-    return merged.select(
+    by_product = merge_counts(counts, ["product_code", "year"], PANEL_COUNTS)
+    return to_panels(by_product, dim).select(
         "*",
         kpis.events_per_100_clearances(F.col("event_count_dedup"), F.col("clearance_count"), settings.min_clearances)
         .alias("events_per_100_clearances"),
@@ -96,12 +101,12 @@ def firm_product_year_from(counts: Sequence[DataFrame], dim: DataFrame) -> DataF
 
 def mart_panel_year(events: DataFrame, recalls: DataFrame, clearances: DataFrame, dim: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """review_panel x year: ten counts and three KPIs."""
-    return panel_year_from(product_counts(events, recalls, clearances, settings), dim, settings)
+    return panel_year_from(product_rows(events, recalls, clearances, settings), dim, settings)
 
 
 def mart_product_year(events: DataFrame, recalls: DataFrame, clearances: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """product_code x year: four counts and four KPIs. Rows without a code form a group of their own."""
-    return product_year_from(product_counts(events, recalls, clearances, settings), settings)
+    return product_year_from(product_rows(events, recalls, clearances, settings), settings)
 
 
 def mart_firm_product_year(
@@ -111,13 +116,14 @@ def mart_firm_product_year(
 
     Names are taken as reported; with an alias table they are replaced by their standard name.
     """
-    counts = firm_counts(events, recalls, settings)
+    counts = firm_rows(events, recalls, settings)
     if alias is not None:
         counts = [_standard_names(c, alias) for c in counts]
     return firm_product_year_from(counts, dim)
 
 
 def _standard_names(counts: DataFrame, alias: DataFrame) -> DataFrame:
+    counts = sum_counts(counts)
     renamed = counts.join(alias.select("raw_name", "standardized_name"), F.col("manufacturer") == F.col("raw_name"), "left")
     renamed = renamed.withColumn("manufacturer", F.coalesce("standardized_name", "manufacturer")).select(*counts.columns)
     return roll_up(renamed, ["manufacturer", "product_code"])
@@ -129,12 +135,12 @@ def build_all_marts(
     """All three marts by name. The firm counts are the finest grain, so the others are sums of them."""
     by_firm = firm_counts(events, recalls, settings)
     years = settings.year_min, settings.year_max
-    clearances = clearance_counts(in_years(clearances, "decision_year", *years), _CODE)
+    clearances = clearance_rows(in_years(clearances, "decision_year", *years), _CODE)
     return _marts_from(by_firm, clearances, dim, settings)
 
 
 def _marts_from(by_firm: Sequence[DataFrame], clearances: DataFrame, dim: DataFrame, settings: Settings) -> dict[str, DataFrame]:
-    by_product = [roll_up(c, _CODE) for c in by_firm] + [clearances]
+    by_product = [*[roll_up(c, _CODE) for c in by_firm], clearances]
     return {
         "mart_panel_year": panel_year_from(by_product, dim, settings),
         "mart_product_code_year": product_year_from(by_product, settings),
@@ -149,7 +155,7 @@ def write_all_marts(
     """Write the marts below ``folder``. Each fact table is scanned once, for a stored table of firm counts."""
     years = settings.year_min, settings.year_max
     parts = dict(zip(("events", "recalls"), firm_counts(events, recalls, settings)))
-    parts["clearances"] = clearance_counts(in_years(clearances, "decision_year", *years), _CODE)
+    parts["clearances"] = sum_counts(clearance_rows(in_years(clearances, "decision_year", *years), _CODE))
     for name, df in parts.items():
         write_table(df, f"{folder}/counts_{name}")
     stored = {name: spark.read.parquet(f"{folder}/counts_{name}") for name in parts}
