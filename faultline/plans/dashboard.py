@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from faultline.functions.kpis import firm_share
 from faultline.operators.joins import enrich
 from faultline.operators.ordered import HOT_ROWS, ordered_within
+from faultline.session import stored
 
 CARDS = ["event_count_dedup", "recall_count", "class_i_recall_count", "death_related_reports", "serious_injury_reports"]
 
@@ -44,7 +45,7 @@ def product_scatter(product_year: DataFrame) -> DataFrame:
 def pareto_products(product_year: DataFrame, dim: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Products of each panel by descending volume with their cumulative share."""
     totals = product_year.groupBy("product_code").agg(F.sum("event_count_dedup").alias("events"))
-    paneled = enrich(totals, dim, "product_code", ["review_panel"]).where("review_panel IS NOT NULL")
+    paneled = stored(enrich(totals, dim, "product_code", ["review_panel"]).where("review_panel IS NOT NULL"))
     panel = paneled.groupBy("review_panel").agg(F.sum("events").alias("panel_events"))
     running = ordered_within(
         paneled, ["review_panel"], [F.desc("events"), F.asc("product_code")],
@@ -63,7 +64,7 @@ def firm_concentration(firm_year: DataFrame, dim: DataFrame, n: int = 10) -> Dat
     Spark keeps n firms per panel and task before the shuffle; the second window holds n rows per panel.
     """
     paneled = enrich(firm_year, dim, "product_code", ["review_panel"]).where("review_panel IS NOT NULL")
-    firms = paneled.groupBy("review_panel", "manufacturer").agg(F.sum("event_count_dedup").alias("events"))
+    firms = stored(paneled.groupBy("review_panel", "manufacturer").agg(F.sum("event_count_dedup").alias("events")))
     panels = firms.groupBy("review_panel").agg(F.sum("events").alias("panel_events"))
     order = Window.partitionBy("review_panel").orderBy(F.desc("events"), F.asc("manufacturer"))
     top = firms.withColumn("position", F.row_number().over(order)).where(F.col("position") <= n)

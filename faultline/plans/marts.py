@@ -21,6 +21,7 @@ from faultline.operators.counts import (
 )
 from faultline.operators.joins import enrich, merge_counts
 from faultline.schemas import FIRM_COUNTS, PANEL_COUNTS, PRODUCT_COUNTS
+from faultline.session import stored
 from faultline.sources.tables import write_table
 
 _CODE = ["product_code"]
@@ -92,7 +93,8 @@ def share_of_total(df: DataFrame, group: str, measure: str, name: str) -> DataFr
 
 def firm_product_year_from(counts: Sequence[DataFrame], dim: DataFrame) -> DataFrame:
     named = [c.where("manufacturer IS NOT NULL").withColumnRenamed("class_i_recall_count", "severe_recall_count") for c in counts]
-    merged = merge_counts(named, ["manufacturer", "product_code", "year"], FIRM_COUNTS)
+    # Used three times: for the rows and for both totals.
+    merged = stored(merge_counts(named, ["manufacturer", "product_code", "year"], FIRM_COUNTS))
     shared = share_of_total(merged, "product_code", "event_count_dedup", "firm_share_within_product")
     paneled = enrich(shared, dim, "product_code", ["review_panel"])
     shared = share_of_total(paneled, "review_panel", "event_count_dedup", "firm_share_within_panel").drop("review_panel")
@@ -133,7 +135,7 @@ def build_all_marts(
     events: DataFrame, recalls: DataFrame, clearances: DataFrame, dim: DataFrame, settings: Settings = DEFAULTS
 ) -> dict[str, DataFrame]:
     """All three marts by name. The firm counts are the finest grain, so the others are sums of them."""
-    by_firm = firm_counts(events, recalls, settings)
+    by_firm = [stored(c) for c in firm_counts(events, recalls, settings)]
     years = settings.year_min, settings.year_max
     clearances = clearance_rows(in_years(clearances, "decision_year", *years), _CODE)
     return _marts_from(by_firm, clearances, dim, settings)
@@ -158,8 +160,8 @@ def write_all_marts(
     parts["clearances"] = sum_counts(clearance_rows(in_years(clearances, "decision_year", *years), _CODE))
     for name, df in parts.items():
         write_table(df, f"{folder}/counts_{name}")
-    stored = {name: spark.read.parquet(f"{folder}/counts_{name}") for name in parts}
-    marts = _marts_from([stored["events"], stored["recalls"]], stored["clearances"], dim, settings)
+    kept = {name: spark.read.parquet(f"{folder}/counts_{name}") for name in parts}
+    marts = _marts_from([kept["events"], kept["recalls"]], kept["clearances"], dim, settings)
     for name, df in marts.items():
         write_table(df, f"{folder}/{name}.parquet")
     return {name: spark.read.parquet(f"{folder}/{name}.parquet") for name in marts}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", app: str = "faultline", **conf: str) -> SparkSession:
@@ -18,6 +18,7 @@ def local_session(cores: int | str = "*", app: str = "faultline", **conf: str) -
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", "12g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # The first Python worker may take long to import its libraries on a busy machine.
         .config("spark.python.authenticate.socketTimeout", "60s")
     )
@@ -42,3 +43,13 @@ def use_checkpoints(spark: SparkSession) -> None:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="faultline-checkpoints-")
     context.setCheckpointDir(folder)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` as a reliable checkpoint: what follows may read it several times without computing it again.
+
+    Plans that use an aggregate twice are not always recognised as equal once Spark has pruned columns and pushed
+    filters into each use; then the facts below would be scanned for every use.
+    """
+    use_checkpoints(df.sparkSession)
+    return df.checkpoint()

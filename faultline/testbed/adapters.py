@@ -53,7 +53,8 @@ class Tables:
 
     def events(self, **options) -> DataFrame:
         ties = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
-        return rank_versions(self.unranked_events(), tie_break=ties, **options)
+        keys = self.read("lineitem").select(F.col("l_orderkey").cast("string").alias("mdr_report_key"))
+        return rank_versions(self.unranked_events(), tie_break=ties, keys=keys, **options)
 
     def recalls(self) -> DataFrame:
         """Mapped recalls; the recall number repeats now and then."""
