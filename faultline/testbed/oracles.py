@@ -321,8 +321,7 @@ _COMMON["given_labels"] = f"""
 def _needs(sql: str, seen: list[str]) -> list[str]:
     for name in _COMMON:
         if name not in seen and re.search(rf"\b{name}\b", sql):
-            if name in _COMMON[name].split():  # recursive
-                pass
+            # Without its own name: one of the tables is recursive.
             _needs(_COMMON[name].replace(name, ""), seen)
             if name not in seen:
                 seen.append(name)
@@ -403,10 +402,6 @@ def _unique(table: str, columns: list[str], name: str) -> str:
 def _shift(table: str, year: str, volume: str, limit: float) -> str:
     yearly = f"(SELECT {year} AS y, {volume} AS n FROM {table} WHERE {year} IS NOT NULL GROUP BY 1)"
     pairs = f"(SELECT y, n, lag(y) OVER (ORDER BY y) AS py, lag(n) OVER (ORDER BY y) AS pn FROM {yearly})"
-    worst = (
-        f"(SELECT count(*) AS years, coalesce(max(c), 0) AS c, coalesce(arg_max(concat(CAST(py AS VARCHAR), '->', CAST(y AS VARCHAR)), "
-        f"c ORDER BY y) FILTER (WHERE c > 0), '') AS pair FROM (SELECT *, CASE WHEN pn <> 0 THEN CAST(abs(n - pn) AS DOUBLE) / pn END AS c FROM {pairs}))"
-    )
     # The earliest of equal changes: pick by value, then year.
     worst = (
         f"(SELECT years, CASE WHEN years < 2 THEN 0 ELSE coalesce(c, 0) END AS c, CASE WHEN c > 0 THEN concat(CAST(py AS VARCHAR), '->', CAST(y AS VARCHAR)) ELSE '' END AS pair "
@@ -438,7 +433,7 @@ def _all(parts: list[str]) -> str:
 
 
 def _dedup(limit: float) -> str:
-    source = "(SELECT count(*) AS raw, count(*) FILTER (WHERE is_latest_version) AS kept, 1 - CAST(0 AS DOUBLE) AS one FROM fx_events)"
+    source = "(SELECT count(*) AS raw, count(*) FILTER (WHERE is_latest_version) AS kept FROM fx_events)"
     ratio = "CAST(raw - kept AS DOUBLE) / raw"
     return _check(
         "dedup_ratio_events", _grade(ratio, limit, limit + 0.1), f"round({ratio}, 4)", str(limit),
