@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 from faultline.llm.exact_dedup import OP5_SQL, op5_exact_dedup
+from faultline.llm.mixing import op3_mixing
+from faultline.llm.packing import op10_packing
 from faultline.llm.simhash import op7_simhash
+from faultline.llm.toxicity import op6_toxicity
 
 QUERIES = {
+    "op3_mixing": op3_mixing,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_toxicity": op6_toxicity,
     "op7_simhash": op7_simhash,
+    "op10_packing": op10_packing,
 }
 
 ORACLES = {
