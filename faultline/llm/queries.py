@@ -8,11 +8,13 @@ from faultline.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from faultline.llm.license_scan import op4_license_scan
 from faultline.llm.mixing import op3_mixing
 from faultline.llm.packing import op10_packing
+from faultline.llm.repeats import op1_repeats
 from faultline.llm.simhash import op7_simhash
 from faultline.llm.toxicity import op6_toxicity
 from faultline.llm.url_filter import op8_url_filter
 
 QUERIES = {
+    "op1_repeats": op1_repeats,
     "op2_embedding_dedup": op2_embedding_dedup,
     "op3_mixing": op3_mixing,
     "op4_license_scan": op4_license_scan,
