@@ -23,6 +23,9 @@ LEAST_ROWS = 4
 FACTORS = 8
 EPOCHS = 25
 BATCH = 512
+# Few rows are gone through more often, until so many steps are taken.
+LEAST_STEPS = 150
+PENALTY = 1e-4
 THRESHOLD = 0.3
 PREFIXES = (4, 5, 6)
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -68,7 +71,8 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, buckets: np.ndarray, factors
     steps = [np.zeros_like(x) for x in (w, v, np.zeros(1))]
     squares = [np.zeros_like(x) for x in (w, v, np.zeros(1))]
     t = 0
-    for _ in range(epochs if n and m else 0):
+    rounds = max(epochs, -(-LEAST_STEPS // -(-n // BATCH))) if n and m else 0
+    for _ in range(rounds):
         order = rng.permutation(n)
         for at in range(0, n, BATCH):
             chosen = order[at : at + BATCH]
@@ -79,7 +83,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, buckets: np.ndarray, factors
             z = b + x @ w + 0.5 * ((s * s).sum(axis=1) - x @ (v * v).sum(axis=1))
             e = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - labels[chosen]) / len(chosen)
             grads = (
-                x.T @ e + 1e-5 * w,
+                x.T @ e + PENALTY * w,
                 x.T @ (e[:, None] * s) - v * (x.T @ e)[:, None] + 1e-4 * v,
                 np.array([e.sum()]),
             )
