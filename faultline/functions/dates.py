@@ -11,14 +11,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _COMPACT = "^[0-9]{8}$"
+_COMPACT_TIME = "^[0-9]{8}[T ][0-9:.+Z-]*$"
 _ISO = "^[0-9]{4}(-[0-9]{1,2}(-[0-9]{1,2}([T ][0-9:.+Z -]*)?)?)?$"
-# Other shapes and their layouts.
+_YEAR_FIRST = "^([0-9]{4})[/.]([0-9]{1,2})[/.]([0-9]{1,2})$"
+_MONTH_FIRST = "^([0-9]{1,2})[/.-]([0-9]{1,2})[/.-]([0-9]{4}|[0-9]{2})$"
+# Other shapes and their layouts, once commas are taken out.
 _LAYOUTS = [
-    ("^[0-9]{2}/[0-9]{2}/[0-9]{4}$", "MM/dd/yyyy"),
-    ("^[0-9]{4}/[0-9]{2}/[0-9]{2}$", "yyyy/MM/dd"),
-    ("^[A-Za-z]{3} [0-9]{1,2}, [0-9]{4}$", "MMM d, yyyy"),
-    ("^[A-Za-z]{4,} [0-9]{1,2}, [0-9]{4}$", "MMMM d, yyyy"),
+    ("^[A-Za-z]{3} [0-9]{1,2} [0-9]{4}$", "MMM d yyyy"),
+    ("^[A-Za-z]{4,} [0-9]{1,2} [0-9]{4}$", "MMMM d yyyy"),
     ("^[0-9]{1,2} [A-Za-z]{3} [0-9]{4}$", "d MMM yyyy"),
+    ("^[0-9]{1,2} [A-Za-z]{4,} [0-9]{4}$", "d MMMM yyyy"),
 ]
 
 
@@ -32,8 +34,24 @@ def compact_date(text: Column) -> Column:
 
 
 def mixed_date(text: Column) -> Column:
-    """Compact, ISO with or without time, bare year or month, US, or with the month spelled out."""
-    out = F.when(text.rlike(_COMPACT), _compact_to_iso(text).try_cast("date")).when(text.rlike(_ISO), text.try_cast("date"))
+    """Compact or ISO, with or without time; bare year or month; year or month first with slashes, dots or dashes; or with
+    the month spelled out. Two-digit years up to 68 belong to this century."""
+
+    def part(shape: str, group: int) -> Column:
+        return F.regexp_extract(text, shape, group)
+
+    year = part(_MONTH_FIRST, 3)
+    century = F.when(F.length(year) == 4, "").when(year <= "68", "20").otherwise("19")
+    month_first = F.concat(century, year, F.lit("-"), part(_MONTH_FIRST, 1), F.lit("-"), part(_MONTH_FIRST, 2))
+    year_first = F.concat_ws("-", *[part(_YEAR_FIRST, k) for k in (1, 2, 3)])
+    out = (
+        F.when(text.rlike(_COMPACT), _compact_to_iso(text).try_cast("date"))
+        .when(text.rlike(_ISO), text.try_cast("date"))
+        .when(text.rlike(_COMPACT_TIME), _compact_to_iso(text).try_cast("date"))
+        .when(text.rlike(_MONTH_FIRST), month_first.try_cast("date"))
+        .when(text.rlike(_YEAR_FIRST), year_first.try_cast("date"))
+    )
+    plain = F.replace(text, F.lit(","), F.lit(""))
     for shape, layout in _LAYOUTS:
-        out = out.when(text.rlike(shape), F.try_to_date(text, layout))
+        out = out.when(plain.rlike(shape), F.try_to_date(plain, layout))
     return out

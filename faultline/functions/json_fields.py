@@ -19,9 +19,13 @@ def text_list(record: Column, path: str) -> Column:
 
 
 def is_filled(record: Column, path: str) -> Column:
-    """Field is a non-empty list or a non-empty string."""
+    """Field has a value other than null, false, zero, and an empty list, object or string."""
+    value = F.try_variant_get(record, path, "variant")
     return F.coalesce(
         F.size(F.try_variant_get(record, path, "array<variant>")) > 0,
+        F.when(F.schema_of_variant(value) == "BOOLEAN", F.try_variant_get(record, path, "boolean")),
+        F.when(F.schema_of_variant(value).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), F.try_variant_get(record, path, "double") != 0),
+        F.when(F.schema_of_variant(value) == "OBJECT<>", F.lit(False)),
         F.length(text(record, path)) > 0,
         F.lit(False),
     )

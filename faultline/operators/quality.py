@@ -171,6 +171,8 @@ def check_volume_shift(df: DataFrame, year: str, count: str | None = None, max_c
     if absent is not None:
         return absent
     changes = year_changes(df, year, count)
+    # A shrinking negative volume is no shift: changes count from zero up.
+    changes = changes.withColumn("change", F.greatest("change", F.lit(0.0)))
     worst = F.max_by(F.struct("prev_year", "year", "change"), F.struct("change", -F.col("year"))).alias("w")
     row = changes.agg(F.count("*").alias("years"), worst).select("years", "w.*")
     shift = F.when(F.col("years") >= 2, F.coalesce("change", F.lit(0.0))).otherwise(0.0)

@@ -125,6 +125,17 @@ def recall_code_lookup(records: DataFrame) -> DataFrame:
     return usable.groupBy("product_res_number").agg(last.alias("product_code"))
 
 
+def dated(rows: DataFrame, date: str, year: str) -> DataFrame:
+    """``rows`` with ``date`` read from its text, and its ``year``.
+
+    The row goes through a generator as a whole. A filter on the year would otherwise be pushed down to the scan with the
+    parsing of the record, and of its date, copied into every branch.
+    """
+    once = rows.select(F.explode(F.array(F.struct(*rows.columns, mixed_date(F.col(date)).alias("_day")))).alias("_row"))
+    fields = [F.col("_row._day" if c == date else f"_row.{c}").alias(c) for c in rows.columns]
+    return once.select(*fields, F.year("_row._day").alias(year))
+
+
 _RECALL = (
     "recall_number string, recall_initiation_date string, classification string, openfda variant, "
     "product_description string, recalling_firm string, reason_for_recall string, status string, "
@@ -134,8 +145,7 @@ _RECALL = (
 
 def clean_recalls(records: DataFrame, lookup: DataFrame | None = None, settings: Settings = DEFAULTS) -> DataFrame:
     """Raw recall records to one row per recall number. ``lookup`` fills missing product codes."""
-    rows = parsed(records, _RECALL).withColumn("recall_initiation_date", mixed_date(F.col("recall_initiation_date")))
-    rows = rows.withColumn("recall_year", F.year("recall_initiation_date"))
+    rows = dated(parsed(records, _RECALL), "recall_initiation_date", "recall_year")
     # Window and keep-first come before the lookup join: fewer rows meet it, and filling changes neither.
     kept = keep_first(
         in_years(rows, "recall_year", settings.window_first_year, settings.window_last_year), ["recall_number"], _PLACE
@@ -155,8 +165,7 @@ def clean_clearances(records: DataFrame, settings: Settings = DEFAULTS) -> DataF
 
     The top-level product code counts unless it is missing or empty, else the nested one.
     """
-    rows = parsed(records, _CLEARANCE).withColumn("decision_date", mixed_date(F.col("decision_date")))
-    rows = rows.withColumn("decision_year", F.year("decision_date"))
+    rows = dated(parsed(records, _CLEARANCE), "decision_date", "decision_year")
     kept = keep_first(
         in_years(rows, "decision_year", settings.window_first_year, settings.window_last_year), ["k_number"], _PLACE
     )

@@ -57,8 +57,8 @@ class Tables:
         return rank_versions(self.unranked_events(), tie_break=ties, keys=keys, **options)
 
     def recalls(self) -> DataFrame:
-        """Mapped recalls; the recall number repeats now and then."""
-        return self.shipped().where("l_returnflag = 'R' AND l_discount >= 0.05").selectExpr(
+        """Mapped recalls, one per line item; the recall number repeats now and then."""
+        return self.shipped().selectExpr(
             "concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) AS recall_number",
             "CAST(l_shipdate AS DATE) AS recall_initiation_date",
             "year(l_shipdate) AS recall_year",
@@ -66,14 +66,15 @@ class Tables:
             "CASE WHEN l_partkey % 7 = 0 THEN NULL ELSE CAST(l_partkey AS STRING) END AS product_code",
             "CASE WHEN l_partkey % 4 = 0 THEN CAST(l_partkey AS STRING) END AS matched_product_code",
             "s_name AS recalling_firm",
-            "l_tax <= 0.06 AS include_in_core_dashboard",
+            "l_returnflag = 'R' AND l_discount >= 0.05 AND l_tax <= 0.06 AS include_in_core_dashboard",
             "CASE l_partkey % 5 WHEN 0 THEN 'exact_product_code_match' WHEN 1 THEN 'high_confidence_text_match' "
             "WHEN 2 THEN 'low_confidence_text_match' ELSE 'unmapped' END AS mapping_quality",
         )
 
     def clearances(self) -> DataFrame:
-        lines = self.read("lineitem").where("l_linenumber = 2")
-        return lines.join(self.read("orders"), F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
+        """One clearance per order, for the least product of its lines."""
+        products = self.read("lineitem").groupBy("l_orderkey").agg(F.min("l_partkey").alias("l_partkey"))
+        return products.join(self.read("orders"), F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
             "CAST(o_orderkey AS STRING) AS k_number",
             "CAST(o_orderdate AS DATE) AS decision_date",
             "year(o_orderdate) AS decision_year",
@@ -91,7 +92,7 @@ class Tables:
 
     def described_recalls(self) -> DataFrame:
         """Recalls to be mapped: some codes unknown, descriptions with noise, reordered and misspelt names."""
-        lines = self.read("lineitem").where("l_returnflag = 'R'")
+        lines = self.read("lineitem")
         return lines.join(self.read("part"), F.col("l_partkey") == F.col("p_partkey")).selectExpr(
             "concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) AS recall_number",
             "CASE WHEN l_partkey % 3 = 0 THEN CAST(l_partkey AS STRING) WHEN l_partkey % 3 = 1 THEN 'none' END AS product_code",
@@ -130,7 +131,7 @@ class Tables:
         ).repartition("file")
 
     def recall_records(self) -> DataFrame:
-        return self.shipped().where("l_returnflag = 'R'").select(
+        return self.shipped().select(
             *_document("recalls", F.col("l_partkey") * 100000000 + F.round(F.col("l_extendedprice") * 100).cast("bigint")),
             _json_object(
                 '"recall_number":"', "concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING))", '"',
@@ -147,7 +148,7 @@ class Tables:
 
     def lookup_records(self) -> DataFrame:
         """Product codes by recall number, with trailing dashes, several per number."""
-        return self.shipped().where("l_returnflag = 'R' AND l_partkey % 3 <> 0").select(
+        return self.shipped().select(
             *_document("recall_product_codes", F.col("l_partkey") * 100000000 + F.round(F.col("l_extendedprice") * 100).cast("bigint")),
             _json_object(
                 '"product_res_number":"', "concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING))", '"',
@@ -157,8 +158,8 @@ class Tables:
         ).repartition("file")
 
     def clearance_records(self) -> DataFrame:
-        lines = self.read("lineitem").where("l_linenumber = 2")
-        joined = lines.join(self.read("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        """One record per line item, so that an order has several and the first has to win."""
+        joined = self.read("lineitem").join(self.read("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         joined = joined.join(self.companies(), F.col("l_suppkey") == F.col("s_suppkey"))
         return joined.select(
             *_document("clearances", F.col("l_partkey") * 100000000 + F.round(F.col("l_extendedprice") * 100).cast("bigint")),

@@ -29,15 +29,15 @@ _COMMON = {
                CASE l_linenumber % 3 WHEN 0 THEN 'I' WHEN 1 THEN 'II' ELSE 'III' END AS recall_class,
                CASE WHEN l_partkey % 7 = 0 THEN NULL ELSE CAST(l_partkey AS VARCHAR) END AS product_code,
                CASE WHEN l_partkey % 4 = 0 THEN CAST(l_partkey AS VARCHAR) END AS matched_product_code,
-               s_name AS recalling_firm, l_tax <= 0.06 AS include_in_core_dashboard,
+               s_name AS recalling_firm, l_returnflag = 'R' AND l_discount >= 0.05 AND l_tax <= 0.06 AS include_in_core_dashboard,
                CASE l_partkey % 5 WHEN 0 THEN 'exact_product_code_match' WHEN 1 THEN 'high_confidence_text_match'
                     WHEN 2 THEN 'low_confidence_text_match' ELSE 'unmapped' END AS mapping_quality
-        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_returnflag = 'R' AND l_discount >= 0.05""",
+        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey""",
     "fx_clearances": """
         SELECT CAST(o_orderkey AS VARCHAR) AS k_number, CAST(o_orderdate AS DATE) AS decision_date,
                CAST(year(o_orderdate) AS INTEGER) AS decision_year, CAST(l_partkey AS VARCHAR) AS product_code,
                o_orderpriority AS decision_code
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber = 2""",
+        FROM (SELECT l_orderkey, min(l_partkey) AS l_partkey FROM lineitem GROUP BY 1) JOIN orders ON l_orderkey = o_orderkey""",
     "fx_companies": """
         SELECT s_suppkey, concat(s_name, CASE CAST(s_suppkey % 5 AS INT) WHEN 0 THEN ', Inc.' WHEN 1 THEN ' LLC'
                WHEN 2 THEN ' Holdings  Group Ltd' WHEN 3 THEN ' GmbH & Co' ELSE '' END) AS company FROM supplier""",
@@ -139,12 +139,12 @@ _COMMON = {
         SELECT concat(CAST(l_orderkey AS VARCHAR), '-', CAST(l_linenumber AS VARCHAR)) AS recall_number, l_suppkey,
                l_partkey * 100000000 + CAST(round(l_extendedprice * 100) AS BIGINT) AS pos,
                CASE WHEN l_linenumber <> 7 THEN CAST(l_shipdate AS DATE) END AS day, l_linenumber, l_linestatus, s_name, l_partkey
-        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_returnflag = 'R'""",
+        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey""",
     "code_lookup": """
         SELECT product_res_number, product_code FROM (
             SELECT recall_number AS product_res_number, concat('P', CAST(l_partkey AS VARCHAR)) AS product_code,
                    row_number() OVER (PARTITION BY recall_number ORDER BY l_suppkey DESC, pos DESC) AS n
-            FROM raw_recalls WHERE l_partkey % 3 <> 0 AND l_partkey % 5 <> 0) WHERE n = 1""",
+            FROM raw_recalls WHERE l_partkey % 5 <> 0) WHERE n = 1""",
     "descriptions": """
         SELECT concat(CAST(l_orderkey AS VARCHAR), '-', CAST(l_linenumber AS VARCHAR)) AS recall_number, l_orderkey,
                CASE WHEN l_partkey % 3 = 0 THEN CAST(l_partkey AS VARCHAR) WHEN l_partkey % 3 = 1 THEN 'none' END AS product_code,
@@ -154,7 +154,7 @@ _COMMON = {
                       ' Model XR-', CAST(l_partkey AS VARCHAR), ' Lot Number: ', CAST(l_orderkey AS VARCHAR)) AS product_description,
                CASE l_linenumber % 4 WHEN 0 THEN p_name WHEN 1 THEN concat(split_part(p_name, ' ', 2), ' ', split_part(p_name, ' ', 1))
                     WHEN 2 THEN concat(split_part(p_name, ' ', 2), 's for clinical use') ELSE replace(p_name, 'i', 'yy') END AS plain
-        FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_returnflag = 'R'""",
+        FROM lineitem JOIN part ON l_partkey = p_partkey""",
     "fx_partitions": """
         SELECT o_orderkey, concat('/bulk/', CASE WHEN o_orderkey % 4 = 1 THEN concat('(', CAST(2000 + o_orderkey % 31 AS VARCHAR), ')')
                       ELSE 'all' END, '/device-event-', CAST(o_orderkey AS VARCHAR), '.json.zip') AS file,
@@ -231,6 +231,9 @@ _COMMON.update(
         "sort_pairs": f"SELECT a_key, b_key, a, b, {_sorted('a')} AS x, {_sorted('b')} AS y FROM name_pairs",
         "sort_lcs": _lcs_table("sort_pairs"),
         "sort_scores": f"SELECT a_key, b_key, round({_RATIO}, 6) AS score FROM sort_pairs JOIN sort_lcs USING (x, y)",
+        "all_pairs": f"SELECT a.s_suppkey AS a_key, b.s_suppkey AS b_key, {_sorted('a.company')} AS x, {_sorted('b.company')} AS y FROM fx_companies a JOIN fx_companies b ON a.s_suppkey <> b.s_suppkey",
+        "all_lcs": _lcs_table("all_pairs"),
+        "all_scores": f"SELECT a_key, b_key, round({_RATIO}, 6) AS score FROM all_pairs JOIN all_lcs USING (x, y)",
         "plain_pairs": "SELECT a_key, b_key, a AS x, b AS y FROM name_pairs",
         "plain_lcs": _lcs_table("plain_pairs"),
     }
@@ -516,8 +519,8 @@ _BODIES = {
     "mart_panel_year_guarded": "SELECT * FROM m_panel_guarded",
     "mart_product_year": f"SELECT *, {_product_kpis(1, 1)} FROM product_base",
     "mart_firm_product_year": "SELECT * FROM m_firm",
-    "all_marts": _all([f"SELECT '{n}' AS mart, count(*) AS rows, CAST(sum(event_count_dedup) AS BIGINT) AS events FROM {t}"
-                       for n, t in (("mart_panel_year", "m_panel"), ("mart_product_code_year", "m_product"), ("mart_firm_product_year", "m_firm"))]),
+    "all_marts": " UNION ALL BY NAME ".join(f"SELECT '{n}' AS mart, * FROM {t}"
+                       for n, t in (("mart_panel_year", "m_panel"), ("mart_product_code_year", "m_product"), ("mart_firm_product_year", "m_firm"))),
     "mart_firm_product_year_aliased": """
         SELECT f.*, CASE WHEN f.product_code IS NOT NULL AND sum(event_count_dedup) OVER (PARTITION BY f.product_code, year) > 0
                     THEN CAST(event_count_dedup AS DOUBLE) / CAST(sum(event_count_dedup) OVER (PARTITION BY f.product_code, year) AS DOUBLE) END AS firm_share_within_product,
@@ -584,7 +587,8 @@ _BODIES = {
     "standardize_applicant": f"SELECT s_suppkey, CASE WHEN s_suppkey % 4 >= 2 THEN {_key('company')} END AS applicant_std FROM fx_companies",
     "denoise_description": f"SELECT recall_number, {_denoise('d')} AS cleaned FROM {_NOISY}",
     "recall_class_extract": """SELECT l_orderkey, l_linenumber, l_partkey, CASE l_linenumber WHEN 1 THEN 'I' WHEN 2 THEN 'II' WHEN 3 THEN 'III' WHEN 4 THEN 'I' END AS recall_class FROM lineitem""",
-    "mixed_dates": f"""SELECT l_orderkey, l_linenumber, l_partkey, day, CAST(year(day) AS INTEGER) AS year FROM (SELECT *, CAST(coalesce(try_strptime(d, '%Y%m%d'), try_strptime(d, '%Y-%m-%d')) AS DATE) AS day FROM {_RAW_DATE})""",
+    "mixed_dates": """SELECT l_orderkey, l_linenumber, l_partkey, day, CAST(year(day) AS INTEGER) AS year
+        FROM (SELECT *, CASE WHEN l_linenumber <> 7 THEN CAST(l_shipdate AS DATE) END AS day FROM lineitem)""",
     "strict_dates": f"""SELECT l_orderkey, l_linenumber, l_partkey, day, CAST(year(day) AS INTEGER) AS year FROM (SELECT *, CAST(try_strptime(d, '%Y%m%d') AS DATE) AS day FROM {_RAW_DATE})""",
     "yn_flags": "SELECT l_orderkey, CASE l_returnflag WHEN 'R' THEN true WHEN 'A' THEN false END AS flag, count(*) AS n FROM lineitem GROUP BY 1, 2",
     "outcome_codes": """SELECT l_linenumber, CASE l_linenumber WHEN 1 THEN 'D' WHEN 2 THEN 'L' WHEN 3 THEN 'D' WHEN 4 THEN 'unheard of' WHEN 5 THEN '' WHEN 6 THEN 'S' END AS code,
@@ -615,7 +619,7 @@ _BODIES = {
         FROM (SELECT *, CASE WHEN l_suppkey % 9 <> 0 THEN company END AS applicant,
                      row_number() OVER (PARTITION BY o_orderkey ORDER BY l_suppkey, l_partkey, l_extendedprice) AS n
               FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN fx_companies ON l_suppkey = s_suppkey
-              WHERE l_linenumber = 2 AND year(o_orderdate) BETWEEN 1996 AND 2000) WHERE n = 1""",
+              WHERE year(o_orderdate) BETWEEN 1996 AND 2000) WHERE n = 1""",
     "build_dim_product": """
         SELECT CAST(p_partkey // 2 AS VARCHAR) AS product_code, p_name AS device_name, CAST(NULL AS VARCHAR) AS medical_specialty,
                CAST(NULL AS VARCHAR) AS medical_specialty_description, p_brand AS review_panel, CAST(NULL AS VARCHAR) AS device_class,
@@ -690,8 +694,8 @@ _BODIES = {
     "indel_ratio": f"SELECT a_key, b_key, round({_RATIO}, 6) AS score FROM plain_pairs JOIN plain_lcs USING (x, y)",
     "token_sort": "SELECT * FROM sort_scores",
     "token_set": "SELECT p.a_key, p.b_key, round(s.score, 6) AS score FROM name_pairs p JOIN ts_scores s USING (a, b)",
-    "extract_one": "SELECT a_key, b_key, score FROM (SELECT *, row_number() OVER (PARTITION BY a_key ORDER BY score DESC, b_key) AS n FROM sort_scores WHERE score >= 80) WHERE n = 1",
-    "extract_above": "SELECT a_key, b_key, score FROM sort_scores WHERE score >= 90",
+    "extract_one": "SELECT a_key, b_key, score FROM (SELECT *, row_number() OVER (PARTITION BY a_key ORDER BY score DESC, b_key) AS n FROM all_scores WHERE score >= 80) WHERE n = 1",
+    "extract_above": "SELECT a_key, b_key, score FROM all_scores WHERE score >= 90",
     "sorted_tokens": f"SELECT s_suppkey, {_sorted('company')} AS form FROM fx_companies",
     "manufacturer_alias": _review("clusters", 20),
     "alias_reduction": "SELECT count(DISTINCT raw_name) AS raw_names, count(DISTINCT standardized_name) AS standardized_names, 1 - CAST(count(DISTINCT standardized_name) AS DOUBLE) / count(DISTINCT raw_name) AS reduction FROM clusters",

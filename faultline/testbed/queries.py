@@ -62,13 +62,10 @@ def mart_firm_product_year(t: Tables) -> DataFrame:
 
 @query
 def all_marts(t: Tables) -> DataFrame:
-    """Row and event counts of the three marts, built from one set of firm counts."""
+    """All rows of the three marts, built from one set of firm counts."""
     built = marts.build_all_marts(t.events(), t.recalls(), t.clearances(), t.dim(), SETTINGS)
-    sizes = [
-        df.agg(F.lit(name).alias("mart"), F.count("*").alias("rows"), F.sum("event_count_dedup").alias("events"))
-        for name, df in built.items()
-    ]
-    return reduce(DataFrame.unionByName, sizes)
+    tagged = [df.withColumn("mart", F.lit(name)) for name, df in built.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 
 @query
@@ -331,8 +328,16 @@ def _raw_dates(t: Tables) -> DataFrame:
 
 @query
 def mixed_dates(t: Tables) -> DataFrame:
+    """The day of every line item in one of twelve spellings, chosen by part; every seventh line has none."""
+    layouts = [
+        "yyyyMMdd", "yyyy-MM-dd", "M/d/yyyy", "MM-dd-yyyy", "yyyy.MM.dd", "yyyyMMdd'T'HHmmss", "d MMMM yyyy", "MMMM d yyyy", "MM/dd/yy",
+        "yyyy/MM/dd", "MMM d, yyyy", "d MMM yyyy",
+    ]
+    spelled = F.when(F.col("l_linenumber") == 7, "BADDATE")
+    for k, layout in enumerate(layouts):
+        spelled = spelled.when(F.col("l_partkey") % len(layouts) == k, F.date_format("l_shipdate", layout))
     day = dates.mixed_date(F.col("raw_date"))
-    return _raw_dates(t).select("l_orderkey", "l_linenumber", "l_partkey", day.alias("day"), F.year(day).alias("year"))
+    return t.read("lineitem").withColumn("raw_date", spelled).select("l_orderkey", "l_linenumber", "l_partkey", day.alias("day"), F.year(day).alias("year"))
 
 
 @query
@@ -678,16 +683,21 @@ def token_set(t: Tables) -> DataFrame:
     return _name_pairs(t).select("a_key", "b_key", F.round(token_set_ratio(F.col("a"), F.col("b")), 6).alias("score"))
 
 
+def _similar_names(t: Tables, cutoff: float) -> DataFrame:
+    found = mapping.all_above(t.companies(), t.companies(), "s_suppkey", "company", cutoff).where("query_key <> choice_key")
+    return found.select(F.col("query_key").alias("a_key"), F.col("choice_key").alias("b_key"), F.round("score", 6).alias("score"))
+
+
 @query
 def extract_one(t: Tables) -> DataFrame:
-    scored = _name_pairs(t).withColumn("score", F.round(token_sort_ratio(F.col("a"), F.col("b")), 6))
-    return best_choice(scored, "a_key", "b_key", "score", "b_key", 80.0)
+    """For every company name the best of all other names, if it scores 80 or more."""
+    return best_choice(_similar_names(t, 80.0), "a_key", "b_key", "score", "b_key", 80.0)
 
 
 @query
 def extract_above(t: Tables) -> DataFrame:
-    scored = _name_pairs(t).withColumn("score", F.round(token_sort_ratio(F.col("a"), F.col("b")), 6))
-    return choices_above(scored, "score", 90.0).select("a_key", "b_key", "score")
+    """For every company name all other names that score 90 or more."""
+    return choices_above(_similar_names(t, 90.0), "score", 90.0).select("a_key", "b_key", "score")
 
 
 @query

@@ -58,20 +58,30 @@ def test_candidates_miss_no_similar_pair(spark, threshold):
 
 
 def test_manufacturer_alias(spark):
-    names = ["ACME INC"] * 5 + ["ACME CORP"] * 2 + ["MEDTRONIC"] * 4 + ["MEDTRONICS PLC", "ZENITH MEDICAL", None, "ZENITH MEDICAL", "Medical Zenith"]
+    names = ["BORVIK INC"] * 5 + ["BORVIK CORP"] * 2 + ["HALDEXONA"] * 4 + ["HALDEXONAS PLC", "ZARNOW LABS", None, "ZARNOW LABS", "Labs Zarnow"]
     events = spark.createDataFrame([(n,) for n in names], "manufacturer_d_name string")
     found = {r["raw_name"]: r for r in mapping.manufacturer_alias(events).collect()}
     assert len(found) == 6
     assert {k: v["standardized_name"] for k, v in found.items()} == {
-        "ACME INC": "ACME INC", "ACME CORP": "ACME INC", "MEDTRONIC": "MEDTRONIC", "MEDTRONICS PLC": "MEDTRONIC",
-        "ZENITH MEDICAL": "ZENITH MEDICAL", "Medical Zenith": "ZENITH MEDICAL",
+        "BORVIK INC": "BORVIK INC", "BORVIK CORP": "BORVIK INC", "HALDEXONA": "HALDEXONA", "HALDEXONAS PLC": "HALDEXONA",
+        "ZARNOW LABS": "ZARNOW LABS", "Labs Zarnow": "ZARNOW LABS",
     }
     rules = {k: (v["normalization_rule"], v["confidence_level"], v["manual_review_flag"]) for k, v in found.items()}
-    assert rules["ACME INC"] == ("exact", 100.0, False)
-    assert rules["ACME CORP"] == ("suffix_removal", 95.0, False)
-    assert rules["MEDTRONICS PLC"][0] == "fuzzy_match" and rules["MEDTRONICS PLC"][2]
-    assert rules["MEDTRONICS PLC"][1] == pytest.approx(100 * 18 / 19)
-    assert rules["Medical Zenith"] == ("fuzzy_match", 100.0, True)
+    assert rules["BORVIK INC"] == ("exact", 100.0, False)
+    assert rules["BORVIK CORP"] == ("suffix_removal", 95.0, False)
+    assert rules["HALDEXONAS PLC"][0] == "fuzzy_match" and rules["HALDEXONAS PLC"][2]
+    assert rules["HALDEXONAS PLC"][1] == pytest.approx(100 * 18 / 19)
+    assert rules["Labs Zarnow"] == ("fuzzy_match", 100.0, True)
+
+
+def test_all_above_misses_nothing(spark):
+    names = variants(random.Random(3), 80)
+    frame = spark.createDataFrame(list(enumerate(names)), "i int, name string")
+    found = {(r[0], r[1]): r[2] for r in mapping.all_above(frame, frame, "i", "name", 75).collect()}
+    forms = [" ".join(sorted(n.split())) for n in names]
+    for i, a in enumerate(forms):
+        for j, score in enumerate(ratios([a] * len(forms), forms)):
+            assert (score >= 75) == ((i, j) in found) and (score < 75 or found[i, j] == pytest.approx(score))
 
 
 def test_review_flag_takes_ties(spark):
@@ -110,22 +120,23 @@ def test_best_match_equals_brute_force(spark, block):
 
 def test_map_recalls(spark):
     dim = spark.createDataFrame(
-        [("ABC", "Test Device Alpha"), ("DEF", "Cardiac Pacemaker System"), ("FRN", "Pump, Infusion"), (None, "No code"), ("XXX", None),
-         ("LNH", "System, Nuclear Magnetic Resonance Imaging")],
+        [("QAA", "Orbital Gauze Clamp"), ("QBB", "Harbor Valve Assembly"), ("QCC", "Frame, Folding"), (None, "No code"), ("QXX", None),
+         ("QDD", "Table, Tilting Height Adjustable Examination")],
         "product_code string, device_name string",
     )
-    long_text = ("Baxter SIGMA Spectrum Infusion Pump with Master Drug Library (Version 8.x), Model# 35700BAX2, PN 1056490. "
-                 "Product Usage: For clinical infusion therapy.")
+    long_text = "Mabry QUARTZ Wanderer Folding Frame with Spare Hinge Kit (Edition 3.x), for wards. Use: indoors, on dry and level floors only."
     recalls = spark.createDataFrame(
-        [("R1", "ABC", "anything"), ("R2", None, "Cardiac Pacemaker System"), ("R3", "none", "Completely Unrelated ZZZZZ"), ("R4", None, None),
-         ("R5", None, "Lot Number: 5"), ("R6", None, long_text), ("R7", None, "SIGNA Voyager, Nuclear Magnetic Resonance Imaging System")],
+        [("R1", "QAA", "anything"), ("R2", None, "Harbor Valve Assembly"), ("R3", "none", "qqq jjj vvv"), ("R4", None, None),
+         ("R5", None, "Lot Number: 5"), ("R6", None, long_text), ("R7", None, "LUMO Drift, Tilting Height Adjustable Examination Table")],
         "recall_number string, product_code string, product_description string",
     )
     found = {r["recall_number"]: r[3:] for r in mapping.map_recalls(recalls, dim).collect()}
-    assert found["R1"] == ("exact_product_code_match", "ABC", 100.0, True)
-    assert found["R2"] == ("high_confidence_text_match", "DEF", 100.0, True)
+    assert found["R1"] == ("exact_product_code_match", "QAA", 100.0, True)
+    assert found["R2"] == ("high_confidence_text_match", "QBB", 100.0, True)
     for unmapped in ("R3", "R4", "R5"):
         assert found[unmapped] == ("unmapped", None, None, False)
-    assert found["R6"][1] == "FRN" and 60 <= found["R6"][2] < 85 and found["R6"][0] == "low_confidence_text_match" and not found["R6"][3]
-    assert found["R7"][:2] == ("high_confidence_text_match", "LNH") and found["R7"][2] == pytest.approx(100 * 34 / 38, abs=0.01)
+    # "Folding" is shared; against it and "Frame," there are 7 characters more of 21
+    assert found["R6"] == ("low_confidence_text_match", "QCC", pytest.approx(100 * 14 / 21, abs=0.01), False)
+    # four words, 37 characters, are shared; with " Table," 7 more of 81
+    assert found["R7"][:2] == ("high_confidence_text_match", "QDD") and found["R7"][2] == pytest.approx(100 * 74 / 81, abs=0.01)
     assert mapping.map_recalls(recalls.limit(0), dim).count() == 0

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from faultline.functions import dates, kpis, rounding, similarity, text
+from faultline.functions import dates, json_fields, kpis, rounding, similarity, text
 from faultline.functions.similarity import ratio, token_set_ratio, token_sort_ratio
 
 
@@ -53,6 +53,15 @@ def test_dates(spark):
     mixed = ["20230115", "2023-01-15", "2023-01-15T10:20:30", "01/15/2023", "Jan 15, 2023", "BADDATE", "", None, "2023"]
     found = values(spark, mixed, dates.mixed_date)
     assert [str(d) for d in found] == ["2023-01-15"] * 5 + ["None"] * 3 + ["2023-01-01"]
+    shapes = ["1/15/2023", "01-15-2023", "2023.01.15", "20230115T103000", "15 January 2023", "January 15 2023", "01/15/23", "2023/1/15", "15 Jan 2023", "13/45/2023", "15 Nonsense 2023"]
+    assert [str(d) for d in values(spark, shapes, dates.mixed_date)] == ["2023-01-15"] * 9 + ["None"] * 2
+    assert str(values(spark, ["12/31/99"], dates.mixed_date)[0]) == "1999-12-31"
+
+
+def test_filled_fields(spark):
+    texts = ["[]", "[1]", "{}", '{"a": 1}', "0", "0.0", "7", "false", "true", '""', '"0"', '"{}"', "null", None]
+    found = values(spark, texts, lambda c: json_fields.is_filled(F.try_parse_json(c), "$"))
+    assert found == [False, True, False, True, False, False, True, False, True, False, True, True, False, False]
 
 
 def test_rounding_is_that_of_the_exact_value(spark):
@@ -106,8 +115,8 @@ def test_similarity_golden_values(spark):
             ("kitten", "sitting", 800 / 13, 800 / 13, 800 / 13),
             ("", "", 100.0, 100.0, 0.0),
             ("b a", "a  b", None, 100.0, 100.0),
-            ("Pump, Infusion", "Infusion Pump, large", None, None, 100.0),
-            ("SIGNA Voyager, Nuclear Magnetic Resonance Imaging System", "System, Nuclear Magnetic Resonance Imaging", None, None, 3400 / 38),
+            ("Frame, Folding", "Folding Frame, large", None, None, 100.0),
+            ("LUMO Drift, Tilting Height Adjustable Examination Table", "Table, Tilting Height Adjustable Examination", None, None, 7400 / 81),
             (None, "a", None, None, None),
         ],
         "a string, b string, r double, sort double, st double",

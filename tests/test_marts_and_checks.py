@@ -13,27 +13,27 @@ SETTINGS = Settings(year_min=2019, year_max=2025)
 @pytest.fixture(scope="module")
 def layer(spark):
     dim = spark.createDataFrame(
-        [("ABC", "Widget A", "AN", "2", "Anesthesiology"), ("DEF", "Widget B", "CV", "3", "Cardiovascular"), ("GHI", "Widget C", "AN", "1", "Anesthesiology"), ("NOP", "None", None, "1", "x")],
+        [("ABC", "Clamp One", "AN", "2", "Anesthesiology"), ("DEF", "Clamp Two", "CV", "3", "Cardiovascular"), ("GHI", "Clamp Three", "AN", "1", "Anesthesiology"), ("NOP", "None", None, "1", "x")],
         "product_code string, device_name string, review_panel string, device_class string, medical_specialty_description string",
     )
     codes = ["ABC"] * 3 + ["DEF"] * 2 + ["ABC"] * 2 + ["DEF"] * 2 + ["GHI"]
-    firms = ["Firm X"] * 3 + ["Firm Y"] * 2 + ["Firm X"] * 2 + ["Firm Z"] * 2 + ["Firm X"]
+    firms = ["Cedar"] * 3 + ["Dogwood"] * 2 + ["Cedar"] * 2 + ["Elm"] * 2 + ["Cedar"]
     events = [
         (f"E{i}", date(2022 + i // 5, 1, 1), 2022 + i // 5, codes[i], firms[i], i >= 7, 4 <= i < 7, i < 4, i != 8) for i in range(10)
     ]
     # Outside the window, without a year, without a code, without a firm, and a superseded row of a firm of its own.
     events += [
-        ("F1", None, None, "ABC", "Firm X", False, False, False, True), ("F2", date(2010, 1, 1), 2010, "ABC", "Firm X", False, False, False, True),
-        ("F3", date(2022, 1, 1), 2022, None, "Firm N", True, False, False, True), ("F4", date(2022, 1, 1), 2022, "NOP", None, False, False, False, True),
-        ("F5", date(2023, 1, 1), 2023, "QQQ", "Firm Q", False, False, False, False),
+        ("F1", None, None, "ABC", "Cedar", False, False, False, True), ("F2", date(2010, 1, 1), 2010, "ABC", "Cedar", False, False, False, True),
+        ("F3", date(2022, 1, 1), 2022, None, "Alder", True, False, False, True), ("F4", date(2022, 1, 1), 2022, "NOP", None, False, False, False, True),
+        ("F5", date(2023, 1, 1), 2023, "QQQ", "Birch", False, False, False, False),
     ]
     events = spark.createDataFrame(
         events,
         "event_record_id string, date_received date, event_year int, product_code string, manufacturer_d_name string, has_death boolean, has_serious_injury boolean, has_malfunction boolean, is_latest_version boolean",
     )
     recalls = spark.createDataFrame(
-        [("R1", 2022, "I", "ABC", None, "Firm X", True), ("R2", 2022, "II", "zzz", "DEF", "Firm Y", True), ("R3", 2023, "III", "ABC", "ABC", "Firm X", True),
-         ("R4", 2023, "I", "ABC", None, "Firm X", False), ("R5", 2022, "I", None, None, "Firm N", True)],
+        [("R1", 2022, "I", "ABC", None, "Cedar", True), ("R2", 2022, "II", "zzz", "DEF", "Dogwood", True), ("R3", 2023, "III", "ABC", "ABC", "Cedar", True),
+         ("R4", 2023, "I", "ABC", None, "Cedar", False), ("R5", 2022, "I", None, None, "Alder", True)],
         "recall_number string, recall_year int, recall_class string, product_code string, matched_product_code string, recalling_firm string, include_in_core_dashboard boolean",
     ).withColumn("mapping_quality", F.when(F.col("matched_product_code").isNotNull(), "exact_product_code_match").otherwise("unmapped"))
     recalls = recalls.withColumn("recall_initiation_date", F.lit(None).cast("date"))
@@ -69,10 +69,10 @@ def test_product_mart(layer):
 
 def test_firm_mart(layer):
     found = {(r["manufacturer"], r["product_code"], r["year"]): r for r in built(layer)["mart_firm_product_year"].collect()}
-    assert ("Firm N", None, 2022) in found and found["Firm N", None, 2022]["firm_share_within_product"] is None
-    assert found["Firm Q", "QQQ", 2023]["firm_share_within_product"] is None and found["Firm Q", "QQQ", 2023]["firm_share_within_panel"] is None
-    assert found["Firm X", "ABC", 2022]["firm_share_within_product"] == 1.0
-    assert found["Firm X", "ABC", 2023]["firm_share_within_panel"] == pytest.approx(2 / 3)
+    assert ("Alder", None, 2022) in found and found["Alder", None, 2022]["firm_share_within_product"] is None
+    assert found["Birch", "QQQ", 2023]["firm_share_within_product"] is None and found["Birch", "QQQ", 2023]["firm_share_within_panel"] is None
+    assert found["Cedar", "ABC", 2022]["firm_share_within_product"] == 1.0
+    assert found["Cedar", "ABC", 2023]["firm_share_within_panel"] == pytest.approx(2 / 3)
     assert not any(k[0] is None for k in found)
     totals = {}
     for (_, code, year), r in found.items():
@@ -82,9 +82,9 @@ def test_firm_mart(layer):
 
 
 def test_alias_merges_firms(layer, spark):
-    alias = spark.createDataFrame([("Firm Y", "Firm X"), ("Firm Z", "Firm X")], "raw_name string, standardized_name string")
+    alias = spark.createDataFrame([("Dogwood", "Cedar"), ("Elm", "Cedar")], "raw_name string, standardized_name string")
     mart = marts.mart_firm_product_year(layer["events"], layer["recalls"], layer["dim"], SETTINGS, alias)
-    assert {r["manufacturer"] for r in mart.collect()} == {"Firm X", "Firm N", "Firm Q"}
+    assert {r["manufacturer"] for r in mart.collect()} == {"Cedar", "Alder", "Birch"}
 
 
 def test_marts_of_nothing(layer):
@@ -104,7 +104,7 @@ def test_exports(layer, spark, tmp_path):
     assert "---" not in codes and None in codes and "device_name" in category.columns
     capped = exports.app_category_product(product, layer["dim"], Settings(category_rows=2))
     assert [(r["product_code"], r["year"]) for r in capped.collect()] == [("ABC", 2022), ("ABC", 2023)]
-    maker = exports.app_manufacturer(m["mart_firm_product_year"].withColumn("manufacturer", F.when(F.col("manufacturer") != "Firm Q", F.col("manufacturer"))), layer["dim"], SETTINGS)
+    maker = exports.app_manufacturer(m["mart_firm_product_year"].withColumn("manufacturer", F.when(F.col("manufacturer") != "Birch", F.col("manufacturer"))), layer["dim"], SETTINGS)
     assert "Unknown" in {r["manufacturer"] for r in maker.collect()}
     apps = exports.export_all(m, layer, SETTINGS)
     assert list(apps) == ["app_overview", "app_category_product", "app_manufacturer", "app_methodology"]
@@ -160,6 +160,8 @@ def test_volume_shift(spark):
     sums = spark.createDataFrame([(2019, 0), (2020, 5), (2021, 5)], "y int, n int")
     assert one(Q.check_volume_shift(sums, "y", "n")).details == "Max YoY change: 0.0% ()"
     assert one(Q.check_volume_shift(df, "no")).status == "fail"
+    shrinking = spark.createDataFrame([(2019, -4), (2020, -8)], "y int, n int")
+    assert one(Q.check_volume_shift(shrinking, "y", "n")).metric_value == 0.0
 
 
 def test_gate_grain_and_invariant(spark, layer):
@@ -204,7 +206,7 @@ def test_dashboard(layer):
         pareto = dashboard.pareto_products(m["mart_product_code_year"], layer["dim"], hot_rows).where("review_panel = 'AN'")
         assert [(r["product_code"], r["running_events"], r["position"]) for r in pareto.orderBy("position").collect()] == [("ABC", 5, 1), ("GHI", 6, 2)]
     top = dashboard.firm_concentration(m["mart_firm_product_year"], layer["dim"], 1).collect()
-    assert {(r["review_panel"], r["manufacturer"]) for r in top} == {("AN", "Firm X"), ("CV", "Firm Y")}
-    assert dashboard.firm_profile(m["mart_firm_product_year"], "Firm X").count() == 3
+    assert {(r["review_panel"], r["manufacturer"]) for r in top} == {("AN", "Cedar"), ("CV", "Dogwood")}
+    assert dashboard.firm_profile(m["mart_firm_product_year"], "Cedar").count() == 3
     assert {r["year"]: r["is_partial_year"] for r in dashboard.flag_partial_year(m["mart_panel_year"], 2023).collect()} == {2022: False, 2023: True}
     assert dashboard.panel_spot_check(m["mart_panel_year"], ["CV", "??"]).count() == 2
