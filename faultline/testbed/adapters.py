@@ -5,6 +5,11 @@ Every adapter reads whole tables; nothing is cached or collected.
 
 from __future__ import annotations
 
+import io
+import zipfile
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -186,6 +191,18 @@ class Tables:
             ).alias("record"),
         )
 
+    def order_files(self, zipped: bool = False) -> DataFrame:
+        """(path, content): one JSON document per customer with its orders, as an object or a bare list; or in an archive."""
+        record = F.expr("concat('{\"k\": ', CAST(o_orderkey AS STRING), ', \"s\": \"', o_orderpriority, '\", \"n\": [1, {\"results\": null}]}')")
+        orders = self.read("orders").select("o_custkey", F.struct("o_orderkey", record.alias("record")).alias("o"))
+        files = orders.groupBy("o_custkey").agg(F.array_sort(F.collect_list("o")).alias("orders"))
+        body = F.array_join("orders.record", ", ")
+        wrapped = F.concat(F.lit('{"meta": {"results": [{}]}, "results": ['), body, F.lit("]}"))
+        text = F.when(F.col("o_custkey") % 2 == 0, wrapped).otherwise(F.concat(F.lit("["), body, F.lit("]")))
+        path = F.concat(F.lit("/in/"), F.lpad(F.col("o_custkey").cast("string"), 8, "0"), F.lit(".zip" if zipped else ".json"))
+        files = files.select(path.alias("path"), F.encode(text, "UTF-8").alias("content"))
+        return files.mapInPandas(_archives, files.schema) if zipped else files
+
     def partition_index(self) -> DataFrame:
         """One download partition per order: year in the name, in the path, out of range or nowhere."""
         return self.read("orders").selectExpr(
@@ -197,6 +214,19 @@ class Tables:
         )
 
 
+def _archives(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Each document as the member of an archive that also has a note, which is no JSON."""
+    for batch in batches:
+        packed = []
+        for content in batch["content"]:
+            buffer = io.BytesIO()
+            with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+                archive.writestr("note.txt", "nothing")
+                archive.writestr("data.json", content)
+            packed.append(buffer.getvalue())
+        yield batch.assign(content=packed)
+
+
 _DESCRIPTION = (
     "concat(CASE l_linenumber % 4 WHEN 0 THEN p_name WHEN 1 THEN concat(split_part(p_name, ' ', 2), ' ', split_part(p_name, ' ', 1)) "
     "WHEN 2 THEN concat(split_part(p_name, ' ', 2), 's for clinical use') ELSE replace(p_name, 'i', 'yy') END, "

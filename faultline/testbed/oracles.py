@@ -514,6 +514,13 @@ def _denoise(text: str) -> str:
 _RAW_DATE = """(SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_linenumber = 7 THEN 'BADDATE'
     WHEN l_linenumber % 2 = 0 THEN CAST(CAST(l_shipdate AS DATE) AS VARCHAR) ELSE replace(CAST(CAST(l_shipdate AS DATE) AS VARCHAR), '-', '') END AS d FROM lineitem)"""
 
+
+def _order_records(ending: str) -> str:
+    return f"""SELECT concat('/in/', lpad(CAST(o_custkey AS VARCHAR), 8, '0'), '.{ending}') AS file, CAST(0 AS INTEGER) AS member,
+        row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS pos,
+        concat('{{"k": ', CAST(o_orderkey AS VARCHAR), ', "s": "', o_orderpriority, '", "n": [1, {{"results": null}}]}}') AS record FROM orders"""
+
+
 _BODIES = {
     "mart_panel_year": "SELECT * FROM m_panel",
     "mart_panel_year_guarded": "SELECT * FROM m_panel_guarded",
@@ -634,6 +641,8 @@ _BODIES = {
             avg(CASE WHEN l_tax = 0 OR l_tax > 0.04 THEN 1.0::DOUBLE ELSE 0 END) AS remedial_action FROM lineitem) t,
         LATERAL (VALUES ('mdr_report_key', 1.0::DOUBLE), ('date_received', 1.0::DOUBLE), ('event_type', t.event_type), ('source_type', t.source_type), ('patient', t.patient),
             ('device', t.device), ('remedial_action', t.remedial_action), ('product_code', 0.0::DOUBLE)) u(field, rate)""",
+    "document_scan": _order_records("json"),
+    "zip_scan": _order_records("zip"),
     "junk_code_filter": """SELECT p_partkey, CASE WHEN p_size % 5 > 2 THEN concat('-', p_brand) END AS product_code FROM part WHERE p_size % 5 > 1""",
     "blank_labels": "SELECT p_partkey, CASE WHEN p_size % 4 = 2 THEN p_brand ELSE 'Unknown' END AS label FROM part",
     "export_overview": "SELECT * REPLACE (CASE WHEN trim(coalesce(review_panel, '')) = '' THEN 'Unknown' ELSE review_panel END AS review_panel) FROM m_panel",

@@ -23,7 +23,7 @@ from faultline.operators import counts as C
 from faultline.operators import dedup, joins, quality
 from faultline.operators.best_match import best_match
 from faultline.plans import clean, dashboard, exports, mapping, marts, quality_suites
-from faultline.sources import partition_index
+from faultline.sources import partition_index, records
 from faultline.testbed.adapters import SETTINGS, Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -426,6 +426,19 @@ def blank_labels(t: Tables) -> DataFrame:
     return labels.select("p_partkey", text.label_or_unknown(F.col("label")).alias("label"))
 
 
+# Raw files
+
+
+@query
+def document_scan(t: Tables) -> DataFrame:
+    return records.read_records(t.order_files(), zipped=False)
+
+
+@query
+def zip_scan(t: Tables) -> DataFrame:
+    return records.read_records(t.order_files(zipped=True), zipped=True)
+
+
 # Exports and profile
 
 
