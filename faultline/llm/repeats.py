@@ -248,17 +248,25 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW_WORDS, phrase: int = PHRA
     4. Windows around located phrases are compared over all documents by 96 bits of hash; a block sends each once.
     5. Repeats meet their documents by id again, by the same exchange of texts as in step 3.
 
+    Whole copies of a text are known by a digest: all windows of a copy start earlier in the first one, so copies need no
+    comparing in steps 3 and 4.
+
     Null text is empty and has no words. A document of fewer words than a window keeps all. Rows that repeat an id are the
     same document: what is a repeat in one is removed from all, and none is the other's earlier place. A null id counts
     as the largest. An empty table gives an empty result; other columns are ignored.
     """
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
-    rows = docs.select(key.alias("key"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(key.alias("key"), F.col("text").cast("string").alias("text")).withColumn("digest", F.md5(F.coalesce("text", F.lit(""))))
+    # both uses of the texts below take the same columns, so that they are one exchange
     by_id = rows.repartition("key")
+    firsts = rows.groupBy("digest").agg(F.min("key").alias("first"), F.count("*").alias("n")).where("n > 1")
+    copies = rows.select("key", "digest").join(firsts.select("digest", "first"), "digest").where("key > first")
+    copies = copies.groupBy(F.col("key").alias("_copy")).agg(F.collect_set("digest").alias("copied"))
+    copied = F.coalesce(F.array_contains("copied", F.col("digest")), F.lit(False))
     confirmed = phrase_places(rows, window, phrase, places=False).groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select(F.col("h").alias("_h"))
     places = phrase_places(rows, window, phrase).join(confirmed, F.col("h") == F.col("_h"), "left_semi")
     places = places.groupBy(F.col("key").alias("_key")).agg(F.collect_list("at").alias("places"))
-    held = by_id.join(places, F.col("key") == F.col("_key"))
+    held = by_id.join(places, F.col("key") == F.col("_key")).join(copies, F.col("key") == F.col("_copy"), "left").where(~copied)
     windows = window_rows(held, window, phrase)
     first = Window.partitionBy("w", "v").orderBy("key", "at")
     repeats = windows.withColumn("rank", F.rank().over(first)).where((F.col("length") > 0) | (F.col("rank") > 1))
@@ -270,11 +278,13 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW_WORDS, phrase: int = PHRA
         kinds = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for batch in _blocks(batches):
             counts, removed, spans, kept = [], [], [], []
-            starts, lengths = batch.column("starts"), batch.column("lengths")
+            starts, lengths, whole = batch.column("starts"), batch.column("lengths"), batch.column("copy").to_pylist()
             for k, text in enumerate(_texts(batch)):
                 words = text.split()
                 gone = np.zeros(len(words) + 1, np.int32)
-                if starts[k].is_valid:
+                if whole[k] and len(words) >= window:
+                    gone[0] = 1
+                elif starts[k].is_valid:
                     a = starts[k].values.to_numpy().astype(np.int64)
                     b = a + lengths[k].values.to_numpy() + window - 1
                     fits = b <= len(words)
@@ -291,7 +301,9 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW_WORDS, phrase: int = PHRA
                 names=["doc_id", "n_words", "n_removed", "spans", "kept_text"],
             )
 
-    met = by_id.join(repeats, F.col("key") == F.col("_key"), "left").select("doc_id", "starts", "lengths", "text")
+    met = by_id.join(repeats, F.col("key") == F.col("_key"), "left").join(copies, F.col("key") == F.col("_copy"), "left")
+    doc_id = F.nullif("key", F.lit((1 << 63) - 1)).alias("doc_id")
+    met = met.select(doc_id, "starts", "lengths", copied.alias("copy"), "text")
     return met.mapInArrow(work, "doc_id long, n_words long, n_removed long, spans array<struct<start: long, end: long>>, kept_text string")
 
 
