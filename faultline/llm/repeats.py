@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from faultline.llm.common import table
+from faultline.llm.common import saved, table
 
 WINDOW_WORDS = 20
 # Each window is represented by one phrase of this many words inside it, the one of least hash. Equal windows have equal
@@ -263,7 +263,9 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW_WORDS, phrase: int = PHRA
     copies = rows.select("key", "digest").join(firsts.select("digest", "first"), "digest").where("key > first")
     copies = copies.groupBy(F.col("key").alias("_copy")).agg(F.collect_set("digest").alias("copied"))
     copied = F.coalesce(F.array_contains("copied", F.col("digest")), F.lit(False))
-    confirmed = phrase_places(rows, window, phrase, places=False).groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select(F.col("h").alias("_h"))
+    # stored, so that the join below reads both sides from plain exchanges and its hot partitions can be split
+    confirmed = phrase_places(rows, window, phrase, places=False).groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
+    confirmed = saved(confirmed.select(F.col("h").alias("_h")))
     places = phrase_places(rows, window, phrase).join(confirmed, F.col("h") == F.col("_h"), "left_semi")
     places = places.groupBy(F.col("key").alias("_key")).agg(F.collect_list("at").alias("places"))
     held = by_id.join(places, F.col("key") == F.col("_key")).join(copies, F.col("key") == F.col("_copy"), "left").where(~copied)
