@@ -92,7 +92,10 @@ def pack(sized: DataFrame, capacities: tuple[int, ...] = CAPACITIES, cost: Cost
     empty = rows.where("size = 0").selectExpr(
         "doc_id", "0 AS piece", "0L AS piece_start", "0L AS n_words", "CAST(NULL AS STRING) AS bin_id", "CAST(NULL AS LONG) AS bin_offset", "CAST(NULL AS INT) AS bin_capacity"
     )
-    rest = rows.where(F.col("size") % largest > 0).select("doc_id", "row", "size", F.pmod(F.xxhash64("row"), F.lit(shards)).alias("shard"))
+    # pandas would turn ids beside a null into floats, so nulls travel as a flag
+    rest = rows.where(F.col("size") % largest > 0).select(
+        F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("no_id"), "row", "size", F.pmod(F.xxhash64("row"), F.lit(shards)).alias("shard")
+    )
 
     def work(key: tuple, pieces: pd.DataFrame) -> pd.DataFrame:
         pieces = pieces.assign(n_words=pieces["size"] % largest).sort_values(["n_words", "doc_id", "row"], ascending=[False, True, True])
@@ -100,7 +103,7 @@ def pack(sized: DataFrame, capacities: tuple[int, ...] = CAPACITIES, cost: Cost
         number = [p[0] for p in placed]
         return pd.DataFrame(
             {
-                "doc_id": pieces["doc_id"].astype("Int64"),
+                "doc_id": pieces["doc_id"].astype("Int64").mask(pieces["no_id"]),
                 "piece": pieces["size"] // largest,
                 "piece_start": pieces["size"] // largest * largest,
                 "n_words": pieces["n_words"],

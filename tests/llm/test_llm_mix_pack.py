@@ -107,7 +107,7 @@ def test_best_fit_costs_what_the_plain_rule_does(seed):
 @pytest.mark.parametrize("shard_rows", [packing.SHARD_ROWS, 20])
 def test_pack(documents, shard_rows):
     rng = random.Random(4)
-    rows = [(k, "w " * int(rng.expovariate(0.01))) for k in range(150)] + [(200, None), (201, ""), (202, "w " * 3000), (202, "w " * 3000), (203, "w " * 1024), (None, "w w")]
+    rows = [(k, "w " * int(rng.expovariate(0.01))) for k in range(150)] + [(200, None), (201, ""), (202, "w " * 3000), (202, "w " * 3000), (203, "w " * 1024), (None, "w w"), (2**53 + 1, "w w w")]
     sized = documents(rows).select("doc_id", F.coalesce(F.size(F.expr("filter(split(text, ' '), w -> w <> '')")), F.lit(0)).alias("size"), "score")
     sized = sized.withColumn("size", F.when(F.col("size") < 0, 0).otherwise(F.col("size")))
     found = packing.pack(sized, (128, 256, 512), shard_rows=shard_rows).collect()
