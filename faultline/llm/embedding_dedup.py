@@ -16,8 +16,9 @@ PASSES = 12
 HASHES = 48
 WINDOW = 48
 SEED = 23
-# Rows of one pass that a task orders and compares, at about 300 bytes each.
-TASK_ROWS = 100_000
+# What a task orders and compares: its vectors in double precision, and about 44 bytes a row beside them.
+TASK_BYTES = 56_000_000
+ROW_BYTES = 44
 
 
 def sort_keys(vectors: np.ndarray, passes: int = PASSES, hashes: int = HASHES, seed: int = SEED) -> np.ndarray:
@@ -63,12 +64,12 @@ def window_links(units: np.ndarray, window: int, cosine: float) -> Iterator[tupl
                 yield i[near], i[near] + step
 
 
-def near_links(classes: DataFrame, cosine: float = COSINE, passes: int = PASSES, window: int = WINDOW, task_rows: int = TASK_ROWS) -> DataFrame:
+def near_links(classes: DataFrame, cosine: float = COSINE, passes: int = PASSES, window: int = WINDOW, task_bytes: int = TASK_BYTES) -> DataFrame:
     """(a, b), a < b: pairs of ids of ``classes`` (rep, embedding) found in some pass and verified, each once.
 
     Every pass orders all vectors by its own hashes. The passes are one range partitioning by (pass, key, hash of the
-    id) into tasks of about ``task_rows``, so vectors of one key can be split. Pairs that a border between tasks
-    divides are left to the other passes, as are pairs whose hashes differ early.
+    id) into tasks of about ``task_bytes``, however long the vectors are, so vectors of one key can be split. Pairs that
+    a border between tasks divides are left to the other passes, as are pairs whose hashes differ early.
     """
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,7 +86,8 @@ def near_links(classes: DataFrame, cosine: float = COSINE, passes: int = PASSES,
 
     rows = classes.select("rep", "embedding").mapInArrow(keyed, "rep long, dim int, unit array<double>, keys array<long>")
     rows = saved(rows)
-    tasks = max(1, -(-rows.count() * passes // task_rows))
+    size = rows.agg(F.sum(F.col("dim").cast("long") * 8 + ROW_BYTES)).first()[0] or 0
+    tasks = max(1, -(-size * passes // task_bytes))
     spread = rows.select("rep", "dim", "unit", F.posexplode("keys").alias("pass", "key")).withColumn("salt", F.xxhash64("rep"))
     order = ["dim", "pass", "key", "salt"]
     spread = spread.repartitionByRange(max(tasks, int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))), *order).sortWithinPartitions(*order)
