@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -77,3 +81,76 @@ def stage_folder(spark, name: str) -> str:
     """A new folder under the shared checkpoint folder for a stage's table."""
     use_checkpoints(spark)
     return f"{spark.sparkContext.getCheckpointDir()}/stages/{uuid.uuid4().hex}-{name}"
+
+
+def numbered(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
+    """``rows`` with longs ``group_no`` and ``position``: the place of its group among all groups, and its own in the group.
+
+    Groups go by the value of the column ``group``, null first, rows by the columns ``order``, nulls first, then by their
+    place in the table; both numbers have no gaps and start at 0. One range partitioning by all of these spreads a group
+    of any size over several tasks. Each task numbers its own rows; what lies before them follows from one record per
+    task, which is all that the driver sees.
+    """
+    keys = [group, *order, "_place"]
+    dealt = rows.withColumn("_place", F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    dealt = saved(dealt.drop("_place"))
+    names = dealt.columns
+    at = names.index(group)
+
+    def starts_of(column: pa.Array) -> np.ndarray:
+        codes = column.dictionary_encode("encode").indices.to_numpy(zero_copy_only=False)
+        return np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
+
+    def summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = last = None
+        groups = count = 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            column = batch.column(at)
+            starts = starts_of(column)
+            value, ending = column[0], column[batch.num_rows - 1]
+            goes_on = last is not None and value.as_py() == last.as_py()
+            groups += len(starts) - goes_on
+            first, last = first if first is not None else value, ending
+            tail = batch.num_rows - int(starts[-1])
+            count = tail + count if goes_on and len(starts) == 1 else tail
+        if first is not None:
+            kind = first.type
+            numbers = [pa.array([x], pa.int64()) for x in (TaskContext.get().partitionId(), groups, count)]
+            ends = [pa.array([x.as_py()], kind) for x in (first, last)]
+            yield pa.RecordBatch.from_arrays([*numbers, *ends], names=["task", "groups", "tail", "first", "last"])
+
+    kind = dealt.schema[group].dataType.simpleString()
+    records = sorted(dealt.mapInArrow(summary, f"task long, groups long, tail long, first {kind}, last {kind}").collect())
+    before: dict[int, tuple[int, int]] = {}
+    number, carried, last = -1, 0, None
+    for k, r in enumerate(records):
+        goes_on = k > 0 and r["first"] == last
+        start = number if goes_on else number + 1
+        before[r["task"]] = (start, carried if goes_on else 0)
+        carried = r["tail"] + (carried if goes_on and r["groups"] == 1 else 0)
+        number, last = start + r["groups"] - 1, r["last"]
+
+    def count_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        previous = None
+        number = position = 0
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            column = batch.column(at)
+            starts = starts_of(column)
+            if previous is None:
+                number, position = before[TaskContext.get().partitionId()]
+            elif column[0].as_py() != previous.as_py():
+                number, position = number + 1, 0
+            run = np.zeros(n, np.int64)
+            run[starts[1:]] = 1
+            run = np.cumsum(run)
+            places = np.arange(n) - starts[run] + np.where(run == 0, position, 0)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(number + run), pa.array(places)], names=[*names, "group_no", "position"])
+            previous, number, position = column[n - 1], number + len(starts) - 1, int(places[-1]) + 1
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in dealt.schema)
+    return dealt.mapInArrow(count_up, f"{fields}, group_no long, position long")

@@ -6,12 +6,15 @@ from faultline.llm.chat_template import OP9_SQL, op9_chat_format
 from faultline.llm.embedding_dedup import op2_embedding_dedup
 from faultline.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from faultline.llm.license_scan import op4_license_scan
+from faultline.llm.merkle import op13_merkle
 from faultline.llm.mixing import op3_mixing
 from faultline.llm.packing import op10_packing
 from faultline.llm.repeats import op1_repeats
+from faultline.llm.sharding import op12_sharding
 from faultline.llm.simhash import op7_simhash
 from faultline.llm.toxicity import op6_toxicity
 from faultline.llm.url_filter import op8_url_filter
+from faultline.llm.whitening import op11_whitening
 
 QUERIES = {
     "op1_repeats": op1_repeats,
@@ -24,6 +27,9 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_chat_format": op9_chat_format,
     "op10_packing": op10_packing,
+    "op11_whitening": op11_whitening,
+    "op12_sharding": op12_sharding,
+    "op13_merkle": op13_merkle,
 }
 
 ORACLES = {
