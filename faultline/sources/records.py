@@ -172,11 +172,10 @@ def scan_single_document(spark: SparkSession, path: str) -> DataFrame:
 def parsed(records: DataFrame, fields: str) -> DataFrame:
     """The fields of every record, with its place (_file, pos). Absent fields and JSON nulls are null.
 
-    A record is parsed once, into just these fields. One that may be a list, a string or missing is declared as
-    a variant.
+    A record is parsed once, into just these fields: it comes out of a generator, below which no later filter can copy
+    the parsing. A field that may be a list, a string or missing is declared as a variant.
     """
-    read = records.select(file_order(F.col("file")).alias("_file"), "pos", F.from_json("record", fields).alias("r"))
-    return read.select("_file", "pos", "r.*")
+    return records.select(file_order(F.col("file")).alias("_file"), "pos", F.inline(F.array(F.from_json("record", fields))))
 
 
 def file_order(path: Column) -> Column:
