@@ -8,15 +8,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from faultline.llm.common import ascii_lower, table
+from faultline.llm.common import table
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 GRAM = 3
 # Diagonals at most this far apart, with at most this many words between their hits, are one span.
 NEIGHBOUR = 3
 GAP = 12
-# A span is a license text if this share of its template's k-grams is found in it.
-LEAST_SHARE = 0.6
+# A span is a license text if this share of its template's words is found in it.
+LEAST_SHARE = 0.7
 
 # Phrases that name a license by themselves: (label, words).
 PHRASES = (
@@ -57,80 +57,108 @@ TEMPLATES = (
 
 
 def words_of(text: Column) -> Column:
-    """Words of the whole text, A-Z lower-cased; null text is empty."""
-    return F.regexp_extract_all(ascii_lower(F.coalesce(text.cast("string"), F.lit(""))), F.lit(WORD), F.lit(0))
+    """Words of the whole text, lower-cased; null text is empty.
 
-
-def grams(words: Column, k: int = GRAM) -> Column:
-    """The k-gram that starts at each word; the last ones are shorter."""
-    return F.transform(words, lambda w, i: F.concat_ws(" ", w, *[F.get(words, i + d) for d in range(1, k)]))
+    Spark's lower() also folds letters beyond A-Z. That changes no place of a word, and equality with templates, which
+    are ASCII, only for the Kelvin sign, which becomes another letter first.
+    """
+    text = F.lower(F.replace(F.coalesce(text.cast("string"), F.lit("")), F.lit("\u212a"), F.lit("\u2135")))
+    return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
 
 
 def template_grams(spark, phrases: tuple, templates: tuple, k: int = GRAM) -> DataFrame:
-    """(tid, label, base, total, tpos, tgram, thash): the k-grams of all phrases and templates, a table of fixed size."""
+    """(tid, label, base, total, template, tpos, thash, t0, t1, ..): the k-grams of all phrases and templates, a table of fixed size.
+
+    One more row, of ``tid`` -1 and empty words, meets the empty word put before every text, so that each document
+    leaves the join with its number of words.
+    """
     entries = [(label, text, True) for label, text in phrases] + [(label, text, False) for label, text in templates]
     rows = F.array(*[F.struct(F.lit(n).alias("tid"), F.lit(a).alias("label"), F.lit(t).alias("words"), F.lit(b).alias("base")) for n, (a, t, b) in enumerate(entries)])
-    texts = spark.range(1).select(F.inline(rows)).withColumn("words", F.split("words", " "))
-    total = F.size("words") - (k - 1)
-    cut = texts.select("tid", "label", "base", total.alias("total"), F.posexplode(F.slice(grams(F.col("words"), k), F.lit(1), total)).alias("tpos", "tgram"))
-    return cut.withColumn("thash", F.xxhash64("tgram"))
+    texts = spark.range(1).select(F.inline(rows)).withColumn("template", F.split("words", " "))
+    parts = [F.get("template", F.col("tpos") + d).alias(f"t{d}") for d in range(k)]
+    cut = texts.select("tid", "label", "base", F.size("template").alias("total"), "template", F.explode(F.sequence(F.lit(0), F.size("template") - k)).alias("tpos"))
+    cut = cut.select("*", *parts)
+    marker = ["-1 AS tid", "'' AS label", "false AS base", "0 AS total", "array('') AS template", "0 AS tpos", *[f"'' AS t{d}" for d in range(k)]]
+    every = cut.unionByName(spark.range(1).selectExpr(*marker))
+    return every.withColumn("thash", F.when(F.col("tid") >= 0, F.xxhash64(*[f"t{d}" for d in range(k)])).otherwise(F.lit(0)))
 
 
 def license_scan(docs: DataFrame, phrases: tuple = PHRASES, templates: tuple = TEMPLATES, k: int = GRAM) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
-    Every rolling k-gram of every text is joined by hash, and checked word by word, with the grams of the templates, a
-    broadcast table of fixed size. Hits vote for their offset (place minus template place). All votes of a phrase on one
-    offset are a place where its words stand consecutively. Offsets of longer templates that lie close together are
-    merged, which allows for inserted or missing words, and a span counts if enough of its template is found there;
+    One pass over the texts: every rolling k-gram is joined by hash, and word by word, with the grams of the templates, a
+    broadcast table of fixed size. Hits vote for their diagonal (place minus template place), which carries the document's words
+    that lie along the template. A phrase is found where all words of a diagonal agree. Diagonals of a longer template
+    whose hits follow each other in the text are merged if their offsets lie close together, which allows for inserted or
+    missing words, whatever other diagonals are met between them. A merged span is verified word by word: it counts if
+    enough of the template's words stand at their places on one of its diagonals, from its first hit to its last;
     ``score`` is the largest such share, below the limit too, and 1 for a phrase. Phrases and templates have at least
-    ``k`` words. Only hits are shuffled, by document.
+    ``k`` words and are ASCII. Only hits and one short row a document are shuffled, once, by row.
 
-    Null text is empty and has no words. Rows that repeat id and text get equal results, each counted once; a row whose id
-    is repeated with another text has its own. Other columns are ignored.
+    Null text is empty and has no words; an empty table gives an empty result. Every row is scanned for itself, also where it
+    repeats an id or a text. Other columns are ignored.
     """
-    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
-    rows = docs.select("doc_id", text.alias("text")).withColumn("part", F.xxhash64("text"))
+    words = F.concat(F.array(F.lit("")), words_of(docs["text"]))
+    rows = docs.select(docs["doc_id"].alias("doc_id"), F.monotonically_increasing_id().alias("row"), words.alias("words"))
+    shifted = [F.slice("words", d + 1, F.size("words")).alias(f"w{d}") for d in range(k)]
+    zipped = rows.select("doc_id", "row", "words", *shifted).select("doc_id", "row", "words", F.arrays_zip(*[f"w{d}" for d in range(k)]).alias("grams"))
+    # place 0 is the empty word before the text, so no list is empty; the outer form only spares a second look at its size
+    places = zipped.select("doc_id", "row", "words", F.posexplode_outer("grams").alias("pos", "gram"))
+    gram = [F.col(f"gram.w{d}") for d in range(k)]
     template = template_grams(docs.sparkSession, phrases, templates, k)
-    places = rows.withColumn("words", words_of(F.col("text"))).select("doc_id", "part", F.posexplode(grams(F.col("words"), k)).alias("pos", "gram"))
-    same = (F.xxhash64("gram") == F.col("thash")) & (F.col("gram") == F.col("tgram"))
-    hits = places.join(F.broadcast(template), same)
-    offsets = (
-        hits.groupBy("doc_id", "part", "tid", "label", "base", "total", (F.col("pos") - F.col("tpos")).alias("offset"))
-        .agg(F.collect_set("tpos").alias("found"), F.min("pos").alias("first"), F.max("pos").alias("last"))
-    )
-    exact = offsets.where(F.col("base") & (F.size("found") == F.col("total"))).select("doc_id", "part", "label", "base", F.col("offset").alias("at"), F.lit(1.0).alias("share"))
-
-    along = Window.partitionBy("doc_id", "part", "tid").orderBy("first", "offset")
-    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-    apart = F.abs(F.col("offset") - F.lag("offset").over(along)) > NEIGHBOUR
-    cut = F.coalesce(apart | (F.col("first") - F.max("last").over(earlier) > GAP), F.lit(True))
-    spans = offsets.where(~F.col("base")).withColumn("cut", cut.cast("int")).withColumn("span", F.sum("cut").over(along))
-    spans = spans.groupBy("doc_id", "part", "tid", "label", "base", "total", "span").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("found")))).alias("n"), F.min("first").alias("at")
+    same = F.when(F.col("pos") == 0, F.lit(0)).otherwise(F.xxhash64(*gram)) == F.col("thash")
+    equal = F.lit(True)
+    for d in range(k):
+        equal = equal & (gram[d] == F.col(f"t{d}"))
+    hits = places.join(F.broadcast(template), same & ((F.col("pos") == 0) | equal))
+    offset = F.col("pos") - 1 - F.col("tpos")
+    along = F.when(F.col("tid") >= 0, F.slice("words", F.greatest(offset, F.lit(0)) + 2, F.col("total") + F.least(offset, F.lit(0))))
+    hits = hits.select(
+        "doc_id", "row", "tid", "label", "base", "total", "template", "tpos", offset.alias("offset"), (F.size("words") - 1).alias("n_words"), along.alias("along")
+    ).repartition("row")
+    diagonals = hits.groupBy("row", "tid", "offset").agg(
+        *[F.first(c).alias(c) for c in ("doc_id", "n_words", "label", "base", "total", "template", "along")],
+        F.min("tpos").alias("tmin"),
+        (F.max("tpos") + (k - 1)).alias("tmax"),
     )
-    spans = spans.select("doc_id", "part", "label", "base", F.col("at").cast("int").alias("at"), (F.col("n") / F.col("total")).alias("share"))
-
-    base = F.col("base")
-    found = (
-        exact.unionByName(spans)
-        .groupBy(F.col("doc_id").alias("_id"), F.col("part").alias("_part"))
-        .agg(
-            F.count(F.when(base, 1)).alias("n_base"),
-            F.min(F.when(base, F.col("at"))).cast("long").alias("first_word"),
-            F.max(F.when(base, F.col("at"))).cast("long").alias("last_word"),
-            F.array_join(F.array_sort(F.collect_set(F.when(base, F.col("label")))), ",").alias("base_labels"),
-            F.array_join(F.array_sort(F.collect_set(F.when(F.col("share") >= LEAST_SHARE, F.col("label")))), ",").alias("labels"),
-            F.max("share").alias("score"),
-        )
+    # places of the template whose word stands on the diagonal, between its first and last hit
+    agree = F.filter(
+        F.sequence("tmin", "tmax"), lambda t: F.get("along", t + F.least(F.col("offset"), F.lit(0))) == F.get("template", t)
     )
-    counted = rows.select("doc_id", "part", F.regexp_count(ascii_lower(F.col("text")), F.lit(WORD)).cast("long").alias("n_words"))
-    met = counted.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("part") == F.col("_part")), "left")
-    return met.select(
-        "doc_id", "n_words", F.coalesce("n_base", F.lit(0)).cast("long").alias("n_base"), "first_word", "last_word",
-        F.coalesce("base_labels", F.lit("")).alias("base_labels"), F.coalesce("labels", F.lit("")).alias("labels"), F.coalesce("score", F.lit(0.0)).alias("score"),
+    diagonals = diagonals.select(
+        "row", "tid", "offset", "doc_id", "n_words", "label", "base", "total", agree.alias("agree"),
+        (F.col("tmin") + F.col("offset")).alias("first"), (F.col("tmax") + F.col("offset")).alias("last"),
     )
 
+    in_text = Window.partitionBy("row", "tid").orderBy("first", "offset")
+    gap = F.col("first") - F.max("last").over(in_text.rowsBetween(Window.unboundedPreceding, -1)) > GAP
+    islands = diagonals.withColumn("island", F.sum(F.coalesce(gap, F.lit(True)).cast("int")).over(in_text))
+    by_offset = Window.partitionBy("row", "tid", "island").orderBy("offset")
+    apart = F.col("offset") - F.lag("offset").over(by_offset) > NEIGHBOUR
+    spans = islands.withColumn("span", F.sum((F.coalesce(apart, F.lit(True)) | F.col("base")).cast("int")).over(by_offset))
+    spans = spans.groupBy("row", "tid", "island", "span").agg(
+        *[F.first(c).alias(c) for c in ("doc_id", "n_words", "label", "base", "total")],
+        F.size(F.array_distinct(F.flatten(F.collect_list("agree")))).alias("n"),
+        F.min("first").cast("long").alias("at"),
+    )
+    share = F.when(F.col("tid") < 0, 0.0).otherwise(F.col("n") / F.col("total"))
+    spans = spans.withColumn("share", share)
+    base = F.col("base") & (F.col("n") == F.col("total"))
+    counts = base | (~F.col("base") & (F.col("share") >= LEAST_SHARE) & (F.col("tid") >= 0))
+    # part of a phrase is no span of a template
+    score = F.max(F.when(base | ~F.col("base"), F.col("share")).otherwise(0.0))
+    found = spans.groupBy("row").agg(
+        F.first("doc_id").alias("doc_id"),
+        F.first("n_words").cast("long").alias("n_words"),
+        F.count(F.when(base, 1)).alias("n_base"),
+        F.min(F.when(base, F.col("at"))).alias("first_word"),
+        F.max(F.when(base, F.col("at"))).alias("last_word"),
+        F.array_join(F.array_sort(F.collect_set(F.when(base, F.col("label")))), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.collect_set(F.when(counts, F.col("label")))), ",").alias("labels"),
+        score.alias("score"),
+    )
+    return found.drop("row")
+
 
 def op4_license_scan(spark, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
