@@ -37,6 +37,12 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores added until no column of ``df`` has it, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    return [next(n for n in (name + "_" * k for k in range(len(taken) + 1)) if n.lower() not in taken) for name in names]
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest id reachable from each node that has an edge.
 

@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.common import connected_components, saved, table
+from faultline.llm.common import connected_components, fresh, saved, table
 
 BITS = 64
 SEED = 42
 SHINGLE_WORDS = 4
 MAX_BITS = 4
+# A subtrie is meant to hold no more fingerprints than this on average; the number of blocks follows from it.
+SUBTRIE = 2048
 # A trie is walked over at most two chunks of this many fingerprints; a prefix that holds more is cut into chunks, and
 # each pair of chunks is a task's work of its own.
 CHUNK = 2048
@@ -43,15 +46,24 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp): the fingerprint of each row's whole text as a signed long. Null text is empty."""
+    """(doc_id, fp, h1, h2): the fingerprint of each row's whole text as a signed long, and 128 bits of hash of id and text.
+
+    Null text is empty to the fingerprint, but another text to the hash. Repeated rows give a row each.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [fingerprint(t, shingle) for t in batch.column(1).cast(pa.binary()).to_pylist()]
+            values = [fingerprint(t, shingle) for t in batch.column(3).cast(pa.binary()).to_pylist()]
             signed = pa.array(np.array(values, np.uint64).view(np.int64), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), signed], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), signed, *batch.columns[1:3]], names=["doc_id", "fp", "h1", "h2"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_row_hashes(), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(work, "doc_id long, fp long, h1 long, h2 long")
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(work, "doc_id long, fp long")
+
+def _row_hashes() -> list[Column]:
+    text = F.col("text").cast("string")
+    return [F.xxhash64("doc_id", text, text.isNull()), F.xxhash64(F.lit("row"), text.isNull(), text, "doc_id")]
 
 
 def trie_pairs(group: np.ndarray, fps: np.ndarray, max_bits: int = MAX_BITS, frontier: int = FRONTIER) -> Iterator[tuple]:
@@ -121,22 +133,40 @@ def forest(n: int, pairs: Iterator[tuple]) -> np.ndarray:
     return root
 
 
-def near_edges(classes: DataFrame, max_bits: int = MAX_BITS, chunk: int = CHUNK) -> DataFrame:
-    """Edges (a, b) between ids of ``classes`` (fp, rep; fingerprints distinct) that connect all pairs within ``max_bits``.
+def blocks_for(n: int, max_bits: int = MAX_BITS, subtrie: int = SUBTRIE) -> tuple[int, int]:
+    """(blocks, shared): how many blocks to cut the bits into, and how many of them a subtrie fixes.
 
-    Of ``max_bits + 1`` blocks of bits, two near fingerprints share one, so the trie is dealt out by (block, its bits) and
-    every near pair meets in one of these subtries. A subtrie of any size is cut into chunks by hash, and each pair of
-    chunks is walked on its own. A task gives back a forest of what it linked, not all pairs.
+    Two fingerprints that differ in ``max_bits`` bits share at least ``blocks - max_bits`` blocks. The fewest blocks are
+    taken for which subtries of ``n`` even fingerprints hold at most ``subtrie``; each fingerprint then goes to
+    ``comb(blocks, shared)`` of them: 5, 15, 35 or 70 for 4 bits, whatever ``n``.
     """
-    blocks = max_bits + 1
+    choices = [(max_bits + shared, shared) for shared in range(1, max(2, max_bits + 1))]
+    fitting = [(b, s) for b, s in choices if n / 2 ** (BITS * s // b) <= subtrie]
+    return (fitting or choices[-1:])[0]
+
+
+def subtries(classes: DataFrame, blocks: int, shared: int) -> DataFrame:
+    """Rows (fp, rep) of ``classes`` dealt to the subtries (block, bits) of every choice of ``shared`` blocks."""
     cuts = [BITS * k // blocks for k in range(blocks + 1)]
-    parts = F.array(
-        *[
-            F.struct(F.lit(k).alias("block"), F.shiftrightunsigned("fp", a).bitwiseAND(F.lit((1 << (b - a)) - 1)).alias("bits"))
-            for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))
-        ]
-    )
-    dealt = classes.select("fp", "rep", F.inline(parts))
+    parts = []
+    for number, chosen in enumerate(itertools.combinations(range(blocks), shared)):
+        bits, width = F.lit(0).cast("long"), 0
+        for k in chosen:
+            part = F.shiftrightunsigned("fp", cuts[k]).bitwiseAND(F.lit((1 << (cuts[k + 1] - cuts[k])) - 1).cast("long"))
+            bits, width = bits.bitwiseOR(F.shiftleft(part, width)), width + cuts[k + 1] - cuts[k]
+        parts.append(F.struct(F.lit(number).alias("block"), bits.alias("bits")))
+    return classes.select("fp", "rep", F.inline(F.array(*parts)))
+
+
+def near_edges(classes: DataFrame, max_bits: int = MAX_BITS, chunk: int = CHUNK, subtrie: int = SUBTRIE) -> DataFrame:
+    """Edges (a, b) between ids of ``classes`` (fp, rep; fingerprints distinct) that connect all pairs within ``max_bits``.
+
+    Near fingerprints share some blocks of bits whole, so the trie is dealt out by every choice of such blocks and their bits,
+    and each near pair meets in one of these subtries. How many copies of a fingerprint that makes follows from
+    ``blocks_for``. A subtrie that is crowded nevertheless is cut into chunks by hash, and each pair of chunks is walked on
+    its own. A task gives back a forest of what it linked, not all pairs.
+    """
+    dealt = subtries(classes, *blocks_for(classes.count(), max_bits, subtrie))
     sizes = dealt.groupBy("block", "bits").agg(F.ceil(F.count("*") / chunk).cast("int").alias("chunks"), F.count("*").alias("n")).where("n > 1")
     mine = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
     cells = dealt.join(sizes, ["block", "bits"]).select(
@@ -176,31 +206,43 @@ def whole_groups(batches: Iterator[pa.RecordBatch], rows: int = 20_000) -> Itera
         yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
 
 
+def _grouped(docs: DataFrame, shingle: int, max_bits: int) -> DataFrame:
+    """(doc_id, fp, h1, h2, component) of every row; ``component`` is the least fingerprint reachable, as a signed long."""
+    prints = saved(fingerprints(docs, shingle))
+    classes = saved(prints.select("fp", F.col("fp").alias("rep")).distinct())
+    groups = connected_components(near_edges(classes, max_bits)).select(F.col("node").alias("_fp"), "component")
+    return prints.join(groups, F.col("fp") == F.col("_fp"), "left").select("doc_id", "fp", "h1", "h2", F.coalesce("component", "fp").alias("component"))
+
+
 def simhash_components(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable).
 
     Rows of one fingerprint form a class before anything is compared, so copies cost nothing. Null text is empty; texts
-    without words have fingerprint zero and are linked like any other. Rows that repeat an id give a row each, and a row
-    with a null id is a member of its class but never its name. Other columns are ignored.
+    without words have fingerprint zero and are linked like any other. Every row is a document of its own, also where it
+    repeats an id; a row with a null id is a member of its group but never its name, and a group of such rows has none.
+    An empty table gives an empty result. Other columns are ignored.
     """
-    prints = saved(fingerprints(docs, shingle))
-    classes = prints.groupBy("fp").agg(F.min("doc_id").alias("rep"))
-    # ids that stand for several fingerprints (a repeated id with different texts) join their classes by name
-    edges = near_edges(classes.where("rep IS NOT NULL"), max_bits)
-    groups = connected_components(edges)
-    named = classes.join(groups, F.col("rep") == F.col("node"), "left").select(
-        F.col("fp").alias("_fp"), F.coalesce("component", "rep").alias("component_id")
-    )
-    return prints.join(named, F.col("fp") == F.col("_fp")).select(
+    rows = saved(_grouped(docs, shingle, max_bits))
+    names = rows.groupBy(F.col("component").alias("_c")).agg(F.min("doc_id").alias("component_id"))
+    return rows.join(names, F.col("component") == F.col("_c")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
 def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one document of each component: the one of smallest id, and one row of it, all columns kept."""
-    keep = simhash_components(docs, shingle, max_bits).where("doc_id = component_id OR component_id IS NULL")
-    keep = keep.select(F.col("component_id").alias("_keep")).distinct()
-    return docs.join(keep, docs["doc_id"].eqNullSafe(keep["_keep"]), "left_semi").dropDuplicates(["doc_id"])
+    """``docs`` with one row of each group of near copies: one of smallest id, all columns kept.
+
+    Rows are told apart by id and text, not by id alone: of rows with null or repeated ids each group keeps one. Null ids come
+    last. Rows that repeat id and text are in one group, so one of them stays. An empty table stays empty; columns of
+    any name are carried along.
+    """
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "h1", "h2")).alias("first")
+    keep = _grouped(docs, shingle, max_bits).groupBy("component").agg(first).select("first.h1", "first.h2")
+    h1, h2, k1, k2 = fresh(docs, "_h1", "_h2", "_k1", "_k2")
+    keep = saved(keep.toDF(k1, k2))
+    marked = docs.withColumns(dict(zip((h1, h2), _row_hashes(), strict=True)))
+    met = marked.join(keep, (F.col(h1) == F.col(k1)) & (F.col(h2) == F.col(k2)), "left_semi")
+    return met.dropDuplicates([h1, h2]).drop(h1, h2)
 
 
 def op7_simhash(spark, sf_dir: str) -> DataFrame:
