@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from faultline.llm.common import saved, table, word_count
+from faultline.llm.common import fresh, saved, table, word_count
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -103,14 +103,16 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE) -> Data
     Sizes are words of the whole text (null: none). Rates are solved on a histogram of sizes per source, which is
     bounded by the longest document, and rounded there with the remainder passed from size to size, so that a source
     misses its target by about one short document. Documents of one source and size are then equal to the mix; those
-    that get the odd copy are the first by hash of the id within slots. Rows that repeat an id are treated alike.
-    Documents without words are taken no times. Other columns are ignored.
+    that get the odd copy are the first by hash of the id within slots, and each row counts for itself: of rows with one
+    id, or none, as many get it as the target asks for, chosen by place in the table. Documents without words are taken
+    no times. An empty table gives an empty result; other columns are ignored.
     """
-    sized = saved(docs.select(F.col("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size")))
+    sized = docs.select(F.col("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"))
+    sized = saved(sized.withColumn("row", F.monotonically_increasing_id()))
     targets = saved(source_targets(sized, weights, share))
     named = targets.select("k", F.col("source").alias("_source"), "source_size", "target")
-    rows = sized.join(named, F.col("source").eqNullSafe(F.col("_source"))).select("doc_id", "source", "size", "k", "source_size", "target")
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)).cast("int")
+    rows = sized.join(named, F.col("source").eqNullSafe(F.col("_source"))).select("doc_id", "row", "source", "size", "k", "source_size", "target")
+    slot = F.pmod(F.xxhash64(F.when(F.col("doc_id").isNull(), F.col("row")), "doc_id"), F.lit(SLOTS)).cast("int")
     rows = rows.withColumn("slot", slot)
     cells = saved(rows.where("size > 0").groupBy("k", "size", "slot").agg(F.count("*").alias("m")))
     hist = saved(cells.groupBy("k", "size").agg(F.sum("m").alias("n")))
@@ -124,7 +126,7 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE) -> Data
         .withColumns({"upto": upto, "odd": odd})
         .selectExpr("k AS _k", "size AS _size", "slot AS _slot", "int(copies div n) AS base", "odd * upto div n - odd * (upto - m) div n AS odd")
     )
-    place = F.rank().over(Window.partitionBy("k", "size", "slot").orderBy(F.xxhash64(F.lit("mix"), F.col("doc_id")), "doc_id"))
+    place = F.row_number().over(Window.partitionBy("k", "size", "slot").orderBy(F.xxhash64(F.lit("mix"), F.col("doc_id")), "doc_id", "row"))
     ranked = rows.withColumn("place", place)
     met = ranked.join(dealt, (F.col("k") == F.col("_k")) & (F.col("size") == F.col("_size")) & (F.col("slot") == F.col("_slot")), "left")
     number = F.coalesce(F.col("base") + (F.col("place") <= F.col("odd")).cast("int"), F.lit(0))
@@ -132,14 +134,28 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE) -> Data
 
 
 def apply_mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE) -> DataFrame:
-    """Rows of ``docs``, all columns, each as often as the mix takes it."""
-    taken = mix(docs, weights, share).where("copies > 0").select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("copies").alias("_copies")
-    ).distinct()
-    same = docs["doc_id"].eqNullSafe(taken["_id"]) & docs["source"].cast("string").eqNullSafe(taken["_source"]) & (word_count(docs["text"]) == taken["_size"])
-    met = docs.join(taken, same)
-    names = [docs[c] for c in docs.columns]
-    return met.select(*names, F.explode(F.sequence(F.lit(1), taken["_copies"])).alias("_copy")).select(*docs.columns)
+    """Rows of ``docs``, all columns, each as often as the mix takes it.
+
+    Rows meet the mix by id, source and size; where several rows agree in these, null ids included, each takes one of the
+    numbers of copies that the mix has for them. An empty table stays empty; columns of any name are carried along.
+    """
+    keys = ["_id", "_none", "_source", "_plain", "_size"]
+
+    def keyed(frame: DataFrame, size: Column, names: list[str]) -> DataFrame:
+        values = [F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("doc_id").isNull()]
+        values += [F.coalesce(F.col("source").cast("string"), F.lit("")), F.col("source").isNull(), size]
+        return frame.withColumns(dict(zip(names, values, strict=True)))
+
+    mixed = keyed(mix(docs, weights, share), F.col("size"), keys)
+    taken = mixed.groupBy(*keys).agg(F.sort_array(F.collect_list("copies"), asc=False).alias("_copies")).where(F.col("_copies")[0] > 0)
+    own, number, copies = fresh(docs, *["_own" + k for k in keys]), *fresh(docs, "_number", "_copies")
+    taken = taken.toDF(*fresh(docs, *keys), copies)
+    # the same keys for the numbers and the join, so that texts are exchanged once
+    placed = keyed(docs, word_count(F.col("text")), own).withColumn(number, F.row_number().over(Window.partitionBy(*own).orderBy(F.xxhash64("text"))))
+    same = [F.col(a) == F.col(b) for a, b in zip(own, fresh(docs, *keys), strict=True)]
+    met = placed.join(taken, same).withColumn(copies, F.element_at(copies, F.col(number))).where(F.col(copies) > 0)
+    each = F.explode(F.sequence(F.lit(1), F.col(copies)))
+    return met.withColumn(number, each).select(*docs.columns)
 
 
 def op3_mixing(spark, sf_dir: str) -> DataFrame:
