@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.common import saved, table
+from faultline.llm.common import fresh, saved, table
 
 # The model is fitted on at most this many labelled rows, chosen by the hash of their id.
 TRAIN_ROWS = 20_000
@@ -61,10 +61,10 @@ class Machine:
 
 
 def fit(rows: list[np.ndarray], labels: np.ndarray, buckets: np.ndarray, factors: int = FACTORS, epochs: int = EPOCHS, seed: int = 7) -> Machine:
-    """Adam over mini-batches of the rows' log loss with small penalties. Without rows every score is one half."""
+    """Adam over mini-batches of the rows' log loss with small penalties. Without rows nothing is known to be toxic: scores are near 0."""
     n, m = len(rows), len(buckets)
     rng = np.random.default_rng(seed)
-    w, v, b = np.zeros(m), rng.normal(0, 0.02, (m, factors)), 0.0
+    w, v, b = np.zeros(m), rng.normal(0, 0.02, (m, factors)), -40.0
     if n:
         rate = (labels.sum() + 0.5) / (n + 1)
         b = float(np.log(rate / (1 - rate)))
@@ -106,11 +106,14 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, terms: int
     """Fit on at most ``rows`` labelled documents that are not held out.
 
     The driver sees the ids of these rows, the counts of the best ``terms`` buckets and, per row, which of those it
-    holds. A document with several labels counts as toxic if one says so; labels without a document are ignored.
+    holds. A document with several labels counts as toxic if one says so, and one with several texts shows the least of them, so no
+    id gives two rows; labels without a document are ignored. Terms seen in fewer than ``LEAST_ROWS`` of these rows are left
+    out, and few rows are gone through until ``LEAST_STEPS`` steps are taken, at every size of the tables.
     """
     known = labels.where(labels["toxic"].isNotNull() & ~held_out(labels["doc_id"])).groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).select(F.col("doc_id").alias("_id"), "_toxic")
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
+    texts = texts.groupBy("doc_id", "_toxic").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -177,21 +180,16 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRES
     """One row per row of ``docs``: doc_id, held_out, score (0 to 1), predicted (1 if score >= threshold).
 
     A score depends on the text alone. Null text is empty and scores like any text without known terms; without labels
-    every document scores one half. Repeated rows and ids are scored row by row; other columns are ignored.
+    every document scores near 0. Repeated rows and ids are scored row by row; other columns are ignored.
     """
     scored = with_scores(docs, train(docs, labels), ["doc_id"])
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Rows of ``docs`` that score below the threshold, all columns kept. Without any labels nothing can be judged or dropped."""
-    machine = train(docs, labels)
-    if not len(machine.buckets):
-        return docs
-    score = "_score"
-    while score in docs.columns:
-        score += "_"
-    return with_scores(docs, machine, docs.columns, score).where(F.col(score) < threshold).drop(score)
+    """Rows of ``docs`` that score below the threshold, all columns kept: those that ``toxicity_scores`` does not predict toxic."""
+    score = fresh(docs, "_score")[0]
+    return with_scores(docs, train(docs, labels), docs.columns, score).where(F.col(score) < threshold).drop(score)
 
 
 def op6_toxicity(spark, sf_dir: str) -> DataFrame:
