@@ -128,6 +128,40 @@ def test_simhash_components(documents):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(root.values())) and kept.columns == documents(rows).columns
 
 
+def test_near_copies_are_told_apart_by_text_and_not_by_id(documents):
+    rng = random.Random(17)
+    texts = [" ".join(f"w{rng.randrange(5000)}" for _ in range(200)) for _ in range(9)]
+    rows = list(zip([None] * 6 + [5, 5, 9], texts, strict=True))
+    docs = documents([*rows, (9, texts[8]), (None, texts[0]), (4, texts[1])]).withColumns({"_h1": F.lit(1), "_k2": F.lit("x"), "h1": F.lit(0.5)})
+    kept = simhash.drop_near_copies(docs)
+    assert kept.columns == docs.columns
+    expected = [(4 if t == texts[1] else i, t) for i, t in rows]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(expected, key=repr)
+
+
+@pytest.mark.parametrize("blocks,shared", [(5, 1), (6, 2), (7, 3), (8, 4)])
+def test_every_choice_of_blocks_finds_all_near_pairs(spark, blocks, shared):
+    rng = random.Random(6)
+    seeds = [rng.getrandbits(63) for _ in range(10)]
+    fps = sorted({s ^ sum({1 << rng.randrange(62) for _ in range(rng.randrange(5))}) for s in seeds for _ in range(6)})
+    rows = spark.createDataFrame([(f, k) for k, f in enumerate(fps)], "fp long, rep long")
+    dealt = {}
+    for r in simhash.subtries(rows, blocks, shared).collect():
+        dealt.setdefault((r.block, r.bits), []).append(r.rep)
+    met = {(a, b) for group in dealt.values() for a in group for b in group if a > b}
+    near = {(a, b) for a in range(len(fps)) for b in range(a) if (fps[a] ^ fps[b]).bit_count() <= 4}
+    assert near <= met and len(near) > 20
+
+
+def test_copies_of_a_fingerprint_do_not_grow_with_the_table(spark):
+    """Rows dealt per fingerprint depend on the blocks alone, and crowding stays bounded however many there are."""
+    assert [simhash.blocks_for(n) for n in (0, 10**6, 10**9, 10**11, 10**13)] == [(5, 1), (5, 1), (6, 2), (7, 3), (8, 4)]
+    rng = random.Random(8)
+    for n in (500, 5000):
+        rows = spark.createDataFrame([(rng.getrandbits(63), k) for k in range(n)], "fp long, rep long")
+        assert simhash.subtries(rows, *simhash.blocks_for(n)).count() == 5 * n
+
+
 def test_simhash_of_no_rows(documents):
     assert simhash.simhash_components(documents([])).count() == 0 and simhash.drop_near_copies(documents([])).count() == 0
 

@@ -72,6 +72,17 @@ def test_apply_mix(documents):
     assert [r.copies for r in mixing.mix(documents([(1, None, None), (2, "", "b")])).collect()] == [0, 0]
 
 
+def test_mix_of_rows_without_and_with_one_id(documents):
+    for rows in ([(None, "w w w")] * 100, [(k // 10, "w w w") for k in range(100)], [(7, f"w w {k}") for k in range(100)]):
+        found = mixing.mix(documents(rows)).collect()
+        # one source: its target is 150 % of its size
+        assert sum(r["size"] * r.copies for r in found) == 450 and max(r.copies for r in found) <= 2
+        docs = documents(rows).withColumns({"_copy": F.lit(1), "_copies": F.lit("x"), "_id": F.lit(2), "_number": F.lit(0)})
+        taken = mixing.apply_mix(docs)
+        assert taken.columns == docs.columns and taken.count() == 150
+        assert {(r.doc_id, r.text) for r in taken.collect()} <= set(rows)
+
+
 def plain_best_fit(sizes, capacities, bound, cost):
     """The same rule with lists, and what it costs."""
     bins, placed, left = [], [], sum(sizes)
@@ -180,4 +191,4 @@ def test_query_equals_sql(spark, name):
 
 def test_all_queries_are_registered():
     names = set(entry_points.queries())
-    assert {*queries.QUERIES, "pipeline"} <= names and {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {*queries.QUERIES, "pipeline"} <= names and {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 14)}

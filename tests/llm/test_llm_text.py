@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -43,6 +44,29 @@ def test_machine_learns_a_pair_that_no_additive_weights_can(documents, spark):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {r.doc_id for r in found if not r.predicted}
 
 
+def test_machine_scores_the_plain_double_sum():
+    rng = np.random.default_rng(2)
+    machine = toxicity.Machine(np.arange(30), -0.3, rng.normal(size=30), rng.normal(size=(30, 4)))
+    for size in (0, 1, 2, 17):
+        at = np.sort(rng.choice(30, size, replace=False))
+        z = machine.bias + sum(machine.weights[i] for i in at)
+        z += sum(float(machine.factors[i] @ machine.factors[j]) for i in at for j in at if i < j)
+        assert machine.score(at) == pytest.approx(1 / (1 + np.exp(-z)))
+
+
+def test_rows_of_one_id_do_not_exceed_the_training_bound(documents, spark, monkeypatch):
+    """An id that is repeated gives one training row, so the driver sees no more than the bound."""
+    seen = []
+    plain = toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda rows, *a, **k: seen.append(len(rows)) or plain(rows, *a, **k))
+    ids = [i for i in range(20) if not held(i)][:3]
+    docs = documents([(ids[0], f"w{k} bad") for k in range(500)] + [(ids[1], "good"), (ids[2], "fine")])
+    labels = spark.createDataFrame([(ids[0], 1), (ids[1], 0), (ids[2], 0)], "doc_id long, toxic int")
+    toxicity.train(docs, labels, rows=1)
+    toxicity.train(docs, labels, rows=10)
+    assert seen == [1, 3]
+
+
 def test_labels_of_held_out_rows_change_nothing(documents, spark):
     rows = toxic_rows(150)
     docs = documents([(i, t) for i, t, _ in rows])
@@ -56,7 +80,7 @@ def test_labels_of_held_out_rows_change_nothing(documents, spark):
 def test_toxicity_edge_cases(documents, spark):
     docs = documents([(1, None), (2, ""), (3, "w " * 100_000), (3, "w"), (None, "w"), (1, None)])
     none = spark.createDataFrame([], "doc_id long, toxic int")
-    assert [r.score for r in toxicity.toxicity_scores(docs, none).collect()] == [0.5] * 6
+    assert [r.score for r in toxicity.toxicity_scores(docs, none).collect()] == [pytest.approx(0.0, abs=1e-12)] * 6
     assert toxicity.drop_toxic(docs, none).count() == 6
     odd = spark.createDataFrame([(1, 1), (1, 0), (2, None), (None, 1), (77, 1)], "doc_id long, toxic int")
     assert toxicity.toxicity_scores(docs, odd).count() == 6
@@ -96,6 +120,7 @@ LICENSE_ROWS = [
     (1, "Released under the MIT License."),
     (None, "CC BY NC"),
     (8, "é under the mit licenseé under thé mit license"),
+    (9, "K\u212ay under the mit license \u212a \u0130x I"),
 ]
 
 
@@ -112,6 +137,28 @@ def test_a_changed_license_text_is_one_span_over_neighbouring_diagonals(document
     assert found.labels == "mit" and found.base_labels == "" and 0.6 < found.score < 1
 
 
+def test_words_put_into_a_template_do_not_split_its_span(documents):
+    """Also where a phrase that the template repeats puts a foreign diagonal between the two true ones."""
+    rows, expect = [], {}
+    for tid, (label, text) in enumerate(license_scan.TEMPLATES):
+        words = text.split()
+        for at in range(1, len(words)) if len(words) > 20 else ():
+            rows.append((100 * tid + at, "before it " + " ".join([*words[:at], "zzz", *words[at:]]) + " after it"))
+            expect[100 * tid + at] = label
+    alone = tuple(t for t in license_scan.TEMPLATES if len(t[1].split()) > 20)
+    found = license_scan.license_scan(documents(rows), (), alone).collect()
+    assert {r.doc_id: r.labels for r in found} == expect
+    # at least all words whose gram lies on one side of the new word are seen
+    assert min(r.score for r in found) > 0.85
+
+
+def test_part_of_a_template_gives_no_label(documents):
+    rows = [(1, "he walks in the sun under the mit and says"), (2, "free of charge to any person " * 40), (3, " ".join(GRANT.split()[:14]))]
+    found = {r.doc_id: r for r in license_scan.license_scan(documents(rows)).collect()}
+    assert [found[k].labels for k in (1, 2, 3)] == ["", "", ""]
+    assert found[3].score == 14 / len(GRANT.split())
+
+
 def test_license_scan_of_no_rows_is_native(documents):
     found = license_scan.license_scan(documents([]))
     assert found.count() == 0
@@ -162,6 +209,43 @@ def test_url_trees_learn_from_labelled_urls(spark):
     assert sum((found[i].verdict == "block") == bad for i, bad in rest) > 0.95 * len(rest)
 
 
+def test_url_entropy_and_long_urls(spark):
+    urls = ["", "a", "aab", "http://x/" + "é1" * 50, "".join(map(chr, range(0x4E00, 0x4E00 + 3000))) * 3]
+    rows = spark.createDataFrame([(u, "", "") for u in urls], "url string, host string, path string")
+    for r in url_filter.with_features(rows).select("url", "entropy").collect():
+        shares = [n / len(r.url) for n in Counter(r.url).values()]
+        assert r.entropy == pytest.approx(-sum(p * np.log2(p) for p in shares), abs=1e-9)
+
+
+def test_hosts_held_out_are_judged_by_what_other_hosts_show(spark):
+    """Digit paths are blocked on every host; no host of the judged fold is in the training rows."""
+    rng = random.Random(4)
+    rows = []
+    for k in range(800):
+        host, bad = f"h{rng.randrange(60)}.site{rng.randrange(9)}.test", rng.random() < 0.5
+        rows.append((k, f"http://{host}/{'num' if bad else 'abc'}/" + "".join(rng.choice("0123456789" if bad else "klmnop") for _ in range(20))))
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    n, share = url_filter.held_out_accuracy(pages, (("block", "test", "/num/"), ("allow", "test", "/abc/")))
+    assert n > 50 and share > 0.95
+
+
+def test_pages_are_scanned_twice_at_most(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    trees = url_filter.url_filter(pages)
+    assert trees._jdf.queryExecution().optimizedPlan().toString().count("Relation [page_id") <= 1
+    sample = url_filter.labelled_urls(pages)
+    assert "Relation [page_id" not in sample._jdf.queryExecution().optimizedPlan().toString()  # stored
+
+
+def test_held_out_hosts_of_the_benchmark_table(spark):
+    """Its rules go by the path's language, which lexical features hardly show: the trees beat the commoner verdict, not by much."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    n, share = url_filter.held_out_accuracy(pages)
+    blocked = url_filter.labelled_urls(pages).where("fold = 0").agg(F.avg("label")).first()[0]
+    print("held-out hosts:", n, share, "always one verdict:", max(blocked, 1 - blocked))
+    assert n > 100 and share >= max(blocked, 1 - blocked)
+
+
 def test_url_filter_is_native(spark):
     pages = spark.createDataFrame([(i, u) for i, u, *_ in URLS], "page_id long, url string")
     plan = url_filter.url_filter(pages)._jdf.queryExecution().executedPlan().toString()
