@@ -9,7 +9,7 @@ from faultline.llm.license_scan import op4_license_scan
 from faultline.llm.merkle import op13_merkle
 from faultline.llm.mixing import op3_mixing
 from faultline.llm.packing import op10_packing
-from faultline.llm.repeats import op1_repeats
+from faultline.llm.repeats import OP1_SQL, op1_repeats
 from faultline.llm.sharding import op12_sharding
 from faultline.llm.simhash import op7_simhash
 from faultline.llm.toxicity import op6_toxicity
@@ -33,6 +33,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_repeats": OP1_SQL,
     "op5_exact_dedup": OP5_SQL,
     "op9_chat_format": OP9_SQL,
 }

@@ -1,8 +1,9 @@
-"""Substring dedup: repeated phrases are confirmed, compiled to Aho-Corasick automata, and located in all documents."""
+"""Substring dedup: recurring phrases are confirmed, compiled to sharded Aho-Corasick automata, and located in all documents."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import ahocorasick
 import numpy as np
@@ -16,24 +17,13 @@ WINDOW_WORDS = 20
 # Each window is represented by one phrase of this many words inside it, the one of least hash. Equal windows have equal
 # phrases, so only windows whose phrase recurs can recur.
 PHRASE_WORDS = 8
-# Texts are worked on in blocks of about this many bytes; a block is a shard with an automaton of its own.
-BLOCK_BYTES = 4 << 20
+# Documents are dealt to shards of about this many bytes of text; each has an automaton of its own.
+SHARD_BYTES = 4 << 20
 _PIECE = 1 << 19
-_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 _OTHER = np.uint64(0xA0761D6478BD642F)
 _MOST = np.uint64(0xFFFFFFFFFFFFFFFF)
-_POWERS: dict[str, np.ndarray] = {}
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64."""
-    if len(_POWERS.get("up", ())) < n:
-        for name, base in (("up", _BASE), ("down", np.uint64(pow(int(_BASE), -1, 1 << 64)))):
-            row = np.full(n, base, np.uint64)
-            row[0] = 1
-            _POWERS[name] = np.multiply.accumulate(row)
-    return _POWERS["up"][:n], _POWERS["down"][:n]
+_NO_ID = (1 << 63) - 1
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -42,25 +32,27 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def word_hashes(text: bytes) -> np.ndarray:
-    """A 64-bit hash of each word of a text; words are runs of anything but ASCII white space."""
-    found = []
+def pieces(text: bytes) -> Iterator[bytes]:
+    """A text cut at white space into pieces of bounded size; a longer word stays whole."""
     at, n = 0, len(text)
-    data = np.frombuffer(text, np.uint8)
-    while at < n:
-        end = min(at + _PIECE, n)
-        while end < n and not (data[end] == 32 or 9 <= data[end] <= 13):
+    while n - at > _PIECE:
+        end = at + _PIECE
+        while end < n and not (text[end] == 32 or 9 <= text[end] <= 13):
             end += 1
-        piece = data[at:end]
-        space = (piece == 32) | ((piece >= 9) & (piece <= 13))
-        edge = np.flatnonzero(np.diff(np.r_[True, space, True].view(np.int8)))
-        starts, ends = edge[::2], edge[1::2]
-        up, down = _powers(max(len(piece), 1 << 12))
-        total = np.zeros(len(piece) + 1, np.uint64)
-        np.cumsum((piece.astype(np.uint64) + np.uint64(1)) * up[: len(piece)], out=total[1:])
-        found.append(_mix((total[ends] - total[starts]) * down[starts]))
+        yield text[at:end]
         at = end
-    return np.concatenate(found) if found else np.zeros(0, np.uint64)
+    yield text[at:]
+
+
+def word_numbers(texts: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Each text as numbers of its words, equal for equal words only, and a 128-bit digest of each different word."""
+    known: dict[bytes, int] = {}
+    rows = []
+    for text in texts:
+        parts = [np.array([known.setdefault(w, len(known)) for w in piece.split()], np.int32) for piece in pieces(text)]
+        rows.append(np.concatenate(parts))
+    digests = b"".join(blake2b(w, digest_size=16).digest() for w in known)
+    return rows, np.frombuffer(digests, np.uint64).reshape(-1, 2)
 
 
 def grams(words: np.ndarray, k: int, step: np.uint64 = _STEP) -> np.ndarray:
@@ -84,21 +76,21 @@ def rolling(row: np.ndarray, width: int, pick=np.minimum) -> np.ndarray:
     return pick(row[: len(row) - (width - have)], row[width - have :]) if width > have else row
 
 
-class Block:
+class Shard:
     """The words of some texts in one row, their phrases, and which windows lie within one text."""
 
     def __init__(self, texts: list[bytes], window: int = WINDOW_WORDS, phrase: int = PHRASE_WORDS):
-        hashes = [word_hashes(t) for t in texts]
+        rows, self.digests = word_numbers(texts)
         self.window, self.phrase = window, phrase
-        self.words = np.concatenate([*hashes, np.zeros(0, np.uint64)])
-        sizes = np.array([len(h) for h in hashes], np.int64)
+        self.words = np.concatenate([*rows, np.zeros(0, np.int32)])
+        sizes = np.array([len(r) for r in rows], np.int64)
         self.first = np.r_[0, np.cumsum(sizes)][:-1].astype(np.int64)
         self.text = np.repeat(np.arange(len(texts)), sizes)
         n = len(self.words) - window + 1
         self.empty = n <= 0
         if self.empty:
             return
-        self.phrases = grams(self.words, phrase)
+        self.phrases = grams(self.digests[:, 0][self.words], phrase)
         self.inside = self.text[:n] == self.text[window - 1 :]
         self.least = rolling(self.phrases, window - phrase + 1)
 
@@ -112,18 +104,24 @@ class Block:
         most = rolling(np.concatenate([pad, own, pad]), width, np.maximum)
         return np.flatnonzero((most == self.phrases) & (most > 0))
 
-    def located(self, places: np.ndarray) -> np.ndarray:
-        """Windows whose representing phrase is one of those at ``places``, wherever it occurs in the block.
+    def located(self, confirmed: np.ndarray) -> np.ndarray:
+        """Windows whose representing phrase is a confirmed one, by the hits of the automaton.
 
-        The phrases are compiled to an automaton over word symbols, and the whole block is streamed through it.
+        ``confirmed`` are hashes of phrases that recur somewhere and represent a window of this shard. Their words are
+        compiled to an automaton over one symbol a word, and all texts of the shard are streamed through it: a hit
+        is a place where exactly these words stand.
         """
-        if self.empty or not len(places):
+        if self.empty or not len(confirmed):
             return np.zeros(0, np.int64)
-        line, width = symbols(self.words)
+        line, width = symbols(self.words, len(self.digests))
         span = self.phrase * width
+        own = np.flatnonzero(np.isin(self.phrases, confirmed))
+        own = own[np.unique(self.phrases[own], return_index=True)[1]]
         automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
-        for p in (places * width).tolist():
+        for p in (own * width).tolist():
             automaton.add_word(line[p : p + span])
+        if not len(automaton):
+            return np.zeros(0, np.int64)
         automaton.make_automaton()
         ends = np.fromiter((end for end, _ in automaton.iter(line)), np.int64)
         starts = ends - span + 1
@@ -132,12 +130,22 @@ class Block:
         hit[starts] = self.phrases[starts]
         return np.flatnonzero(self.inside & (rolling(hit, self.window - self.phrase + 1) == self.least))
 
-
-def symbols(words: np.ndarray) -> tuple[str, int]:
-    """The words as a text with one character for each different word, or more if there are too many; and how many."""
-    different, place = np.unique(words, return_inverse=True)
-    place = place.astype(np.uint32)
-    if len(different) < 0x10F000:
+    def window_digests(self, windows: np.ndarray) -> np.ndarray:
+        """128 bits, in two longs, of the words of each window: a digest of its words' digests."""
+        out = np.zeros((len(windows), 2), np.int64)
+        for at in range(0, len(windows), 1 << 14):
+            own = windows[at : at + (1 << 14)]
+            wide = self.digests[self.words[own[:, None] + np.arange(self.window)]].tobytes()
+            size = 16 * self.window
+            found = b"".join(blake2b(wide[k : k + size], digest_size=16).digest() for k in range(0, len(wide), size))
+            out[at : at + len(own)] = np.frombuffer(found, np.int64).reshape(-1, 2)
+        return out
+
+
+def symbols(words: np.ndarray, different: int) -> tuple[str, int]:
+    """Word numbers as a text with one character for each different word, or two if there are too many; and how many."""
+    place = words.astype(np.uint32)
+    if different < 0x10F000:
         place = place + np.uint32(1)
         place[place >= 0xD800] += np.uint32(0x800)  # not the surrogates
         return place.astype("<u4").tobytes().decode("utf-32-le"), 1
@@ -145,94 +153,128 @@ def symbols(words: np.ndarray) -> tuple[str, int]:
     return digits.astype("<u4").tobytes().decode("utf-32-le"), 2
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches (.., text) cut to blocks of bounded text; a longer text is a block of its own."""
+def _cuts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches (.., text) cut to about ``SHARD_BYTES`` of text; a longer text comes by itself."""
     for batch in batches:
-        sizes = batch.column("text").cast(pa.binary())
-        lengths = np.array([len(x.as_buffer()) if x.is_valid else 0 for x in sizes], np.int64)
+        lengths = np.array([len(x.as_buffer()) if x.is_valid else 0 for x in batch.column("text").cast(pa.binary())], np.int64)
         at = 0
         while at < batch.num_rows:
-            take = max(1, int(np.searchsorted(np.cumsum(lengths[at:]), BLOCK_BYTES, side="right")))
+            take = max(1, int(np.searchsorted(np.cumsum(lengths[at:]), SHARD_BYTES, side="right")))
             yield batch.slice(at, take)
             at += take
 
 
-def _texts(batch: pa.RecordBatch) -> list[bytes]:
-    return [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
+def _texts(column) -> list[bytes]:
+    return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
 
-def phrase_places(docs: DataFrame, window: int = WINDOW_WORDS, phrase: int = PHRASE_WORDS, places: bool = True) -> DataFrame:
-    """(h, key, at): hash and place of every phrase that represents windows of a document; only h without ``places``."""
+def phrase_shards(rows: DataFrame, window: int = WINDOW_WORDS, phrase: int = PHRASE_WORDS, counts: bool = False) -> DataFrame:
+    """(h, shard): hash of every phrase that represents windows of a document, and the document's shard; or (h, n) with ``counts``."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _blocks(batches):
-            block = Block(_texts(batch), window, phrase)
-            chosen = block.chosen()
+        for batch in _cuts(batches):
+            cut = Shard(_texts(batch.column("text")), window, phrase)
+            chosen = cut.chosen()
             if not len(chosen):
                 continue
-            h = pa.array(block.phrases[chosen].view(np.int64))
-            if not places:
-                yield pa.RecordBatch.from_arrays([h], names=["h"])
-                continue
-            text = block.text[chosen]
-            keys = batch.column("key").to_numpy()[text]
-            yield pa.RecordBatch.from_arrays([h, pa.array(keys), pa.array((chosen - block.first[text]).astype(np.int32))], names=["h", "key", "at"])
+            h = cut.phrases[chosen].view(np.int64)
+            if counts:
+                h, n = np.unique(h, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n)], names=["h", "n"])
+            else:
+                both = np.unique(np.stack([h, batch.column("shard").to_numpy().astype(np.int64)[cut.text[chosen]]], axis=1), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].astype(np.int32))], names=["h", "shard"])
 
-    return docs.select("key", "text").mapInArrow(work, "h long, key long, at int" if places else "h long")
+    return rows.select("shard", "text").mapInArrow(work, "h long, n long" if counts else "h long, shard int")
 
 
-def window_rows(docs: DataFrame, window: int = WINDOW_WORDS, phrase: int = PHRASE_WORDS) -> DataFrame:
-    """For documents (key, text, places of recurring phrases): the windows that may recur, (w, v, key, at, length).
+_REPEAT = "shard int, key long, rid long, at int, length int, w long, v long"
 
-    Of equal windows in one block all but the earliest are known to be repeats: they are given as runs, with a length and
-    no ``v``. The others have length 0 and 96 bits of hash, w and v. A window that very many documents share thus leaves
-    each block once.
-    """
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _blocks(batches):
-            block = Block(_texts(batch), window, phrase)
-            lists = batch.column("places")
-            owner = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
-            places = lists.flatten().to_numpy().astype(np.int64) + block.first[owner]
-            # a row that repeats an id with a shorter text may not have the place
-            places = places[places + phrase <= len(block.words)]
-            found = block.located(places)
-            if not len(found):
-                continue
-            w = grams(block.words, window)[found]
-            v = (grams(block.words, window, _OTHER)[found] >> np.uint64(32)).astype(np.uint32).view(np.int32)
-            text = block.text[found]
-            key, at = batch.column("key").to_numpy()[text], found - block.first[text]
-            order = np.lexsort((at, key, v, w))
-            w, v, key, at = w[order], v[order], key[order], at[order]
-            head = np.flatnonzero(np.r_[True, (w[1:] != w[:-1]) | (v[1:] != v[:-1])])
-            lead = head[np.cumsum(np.isin(np.arange(len(w)), head, assume_unique=True)) - 1]
-            later = (key > key[lead]) | (at > at[lead])
-            one = np.zeros(len(w), bool)
-            one[head] = True
-            yield _window_batch(w[one], v[one], key[one], at[one], None)
-            if later.any():
-                k, a = key[later], at[later]
-                order = np.lexsort((a, k))
-                k, a = k[order], a[order]
-                cut = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (a[1:] > a[:-1] + 1)])
-                stop = np.r_[cut[1:], len(a)] - 1
-                spread = _mix(k[cut].view(np.uint64) * _STEP + a[cut].astype(np.uint64))
-                yield _window_batch(spread, None, k[cut], a[cut], a[stop] - a[cut] + 1)
-
-    return docs.select("key", "places", "text").mapInArrow(work, "w long, v int, key long, at int, length int")
-
-
-def _window_batch(w, v, key, at, length) -> pa.RecordBatch:
-    columns = [
-        pa.array(w.view(np.int64)),
-        pa.nulls(len(w), pa.int32()) if v is None else pa.array(v),
-        pa.array(key),
-        pa.array(at.astype(np.int32)),
-        pa.array(np.zeros(len(w), np.int32) if length is None else length.astype(np.int32)),
-    ]
-    return pa.RecordBatch.from_arrays(columns, names=["w", "v", "key", "at", "length"])
+def shard_windows(docs: pa.Table, side: pa.Table, window: int = WINDOW_WORDS, phrase: int = PHRASE_WORDS) -> pa.Table:
+    """Windows of one shard's documents (shard, key, rid, text) that may recur, as rows of ``_REPEAT``.
+
+    ``side`` has the confirmed phrases of the shard (h) and, without h, the documents (key, rid) that are whole copies of an
+    earlier one. Of equal windows in a shard all but the earliest are known to be repeats, and so are all that are located
+    in copies: they are given as runs, with a length and no v. The others have length 0 and the digest of
+    their words, w and v, so a window that very many documents share leaves each shard once.
+    """
+    number = docs.column("shard")[0].as_py() if docs.num_rows else 0
+    key, rid = docs.column("key").to_numpy(), docs.column("rid").to_numpy()
+    one = np.unique(np.stack([key, rid], axis=1), axis=0, return_index=True)[1] if docs.num_rows else np.zeros(0, np.int64)
+    key, rid = key[one], rid[one]  # rows that repeat id and text are one document
+    shard = Shard(_texts(docs.column("text").take(pa.array(one))), window, phrase)
+    confirmed = side.column("h").drop_null().to_numpy().view(np.uint64)
+    found = shard.located(np.unique(confirmed))
+    if not len(found):
+        return _rows(number, *[np.zeros(0, np.int64)] * 4, None)
+    copies = side.filter(side.column("h").is_null())
+    copied = set(zip(copies.column("key").to_pylist(), copies.column("rid").to_pylist(), strict=True))
+    copy = np.array([k in copied for k in zip(key.tolist(), rid.tolist(), strict=True)], bool)
+    text = shard.text[found]
+    later = copy[text]
+    own = np.flatnonzero(~later)
+    digests = shard.window_digests(found[own])
+    at = found - shard.first[text]
+    order = np.lexsort((at[own], rid[text[own]], key[text[own]], digests[:, 1], digests[:, 0]))
+    digests, own = digests[order], own[order]
+    heads = np.r_[True, (digests[1:] != digests[:-1]).any(axis=1)][: len(own)]
+    later[own[~heads]] = True
+    head = own[heads]
+    out = [_rows(number, key[text[head]], rid[text[head]], at[head], np.zeros(len(head), np.int64), digests[heads])]
+    if later.any():
+        t, a = text[later], at[later]  # in order of text and place
+        cut = np.flatnonzero(np.r_[True, (t[1:] != t[:-1]) | (a[1:] > a[:-1] + 1)])
+        stop = np.r_[cut[1:], len(a)] - 1
+        out.append(_rows(number, key[t[cut]], rid[t[cut]], a[cut], a[stop] - a[cut] + 1, None))
+    return pa.concat_tables(out)
+
+
+def _rows(shard: int, key, rid, at, length, digests) -> pa.Table:
+    n = len(key)
+    if digests is None:  # runs are spread by their place
+        w = _mix(key.astype(np.uint64) * _STEP + rid.astype(np.uint64) + at.astype(np.uint64)).view(np.int64)
+    else:
+        w = digests[:, 0]
+    columns = {
+        "shard": pa.array(np.full(n, shard, np.int32)), "key": pa.array(key), "rid": pa.array(rid), "at": pa.array(at.astype(np.int32)),
+        "length": pa.array(length.astype(np.int32)), "w": pa.array(np.ascontiguousarray(w)),
+        "v": pa.nulls(n, pa.int64()) if digests is None else pa.array(np.ascontiguousarray(digests[:, 1])),
+    }
+    return pa.table(columns)
+
+
+_KEPT = "doc_id long, n_words long, n_removed long, spans array<struct<start: long, end: long>>, kept_text string"
+
+
+def without_repeats(docs: pa.Table, repeats: pa.Table, window: int = WINDOW_WORDS) -> pa.Table:
+    """Rows of ``_KEPT`` for one shard's documents, given where their repeated windows start (key, rid, at, length)."""
+    starts: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    columns = [repeats.column(c).to_pylist() for c in ("key", "rid", "at", "length")]
+    for key, rid, at, length in zip(*columns, strict=True):
+        starts.setdefault((key, rid), []).append((at, at + max(length, 1) + window - 1))
+    counts, removed, spans, kept = [], [], [], []
+    for key, rid, text in zip(docs.column("key").to_pylist(), docs.column("rid").to_pylist(), _texts(docs.column("text")), strict=True):
+        words = text.split()
+        runs = []
+        for start, end in sorted(starts.get((key, rid), ())):
+            if runs and start <= runs[-1][1]:
+                runs[-1][1] = max(runs[-1][1], end)
+            else:
+                runs.append([start, end])
+        rest, at = [], 0
+        for start, end in runs:
+            rest += words[at:start]
+            at = end
+        rest += words[at:]
+        counts.append(len(words))
+        removed.append(len(words) - len(rest))
+        spans.append([{"start": start, "end": end} for start, end in runs])
+        kept.append(b" ".join(rest))
+    kinds = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    ids = [None if key == _NO_ID else key for key in docs.column("key").to_pylist()]
+    columns = [pa.array(ids, pa.int64()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, kinds), pa.array(kept, pa.binary()).cast(pa.string())]
+    return pa.table(columns, names=["doc_id", "n_words", "n_removed", "spans", "kept_text"])
 
 
 def drop_repeats(docs: DataFrame, window: int = WINDOW_WORDS, phrase: int = PHRASE_WORDS) -> DataFrame:
@@ -242,73 +284,69 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW_WORDS, phrase: int = PHRA
     the same one; all words of repeats go, judged on the input. The steps:
 
     1. Every text gives its representing phrases; those counted at least twice are confirmed. Map tasks pre-sum.
-    2. Each document learns where its confirmed phrases are (a join on the phrase whose large side may be split).
-    3. Documents meet these by id. Each block of documents compiles the phrases it holds to an Aho-Corasick automaton,
-       and is streamed through it as a whole, so automata grow with a block and not with the corpus.
-    4. Windows around located phrases are compared over all documents by 96 bits of hash; a block sends each once.
-    5. Repeats meet their documents by id again, by the same exchange of texts as in step 3.
-
-    Whole copies of a text are known by a digest: all windows of a copy start earlier in the first one, so copies need no
-    comparing in steps 3 and 4.
-
-    Null text is empty and has no words. A document of fewer words than a window keeps all. Rows that repeat an id are the
-    same document: what is a repeat in one is removed from all, and none is the other's earlier place. A null id counts
-    as the largest. An empty table gives an empty result; other columns are ignored.
+    2. Documents are dealt to shards of bounded size by a hash. A shard learns which of its phrases are confirmed, not where
+       they stand (a join on the phrase whose large side may be split).
+    3. Each shard compiles these phrases to an Aho-Corasick automaton and streams all its documents through it. The hits
+       are the only source of places. So every document is streamed once, and the automata grow with a
+       shard and not with the corpus.
+    4. Windows around hits are compared over all documents by 128 bits of a digest of their words; a shard sends each once.
+    5. Repeats meet their documents in the shard again, by the same exchange of texts as in step 3.
+
+    Inside a shard words are compared as they are, and between shards windows by a cryptographic digest of digests of
+    their words. Whole copies of a text, known by SHA-256, are streamed like other documents, but their windows, which
+    all start earlier in the first one, need no comparing in step 4.
+
+    Null text is empty and has no words. A document of fewer words than a window keeps all. Rows that repeat id and text are
+    one document. Rows that repeat an id with another text are documents of their own, each judged by its own text, in order of
+    their texts' SHA-256. A null id counts as the largest. An empty table gives an empty result; other columns are ignored.
     """
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
-    rows = docs.select(key.alias("key"), F.col("text").cast("string").alias("text")).withColumn("digest", F.md5(F.coalesce("text", F.lit(""))))
-    # both uses of the texts below take the same columns, so that they are one exchange
-    by_id = rows.repartition("key")
-    firsts = rows.groupBy("digest").agg(F.min("key").alias("first"), F.count("*").alias("n")).where("n > 1")
-    copies = rows.select("key", "digest").join(firsts.select("digest", "first"), "digest").where("key > first")
-    copies = copies.groupBy(F.col("key").alias("_copy")).agg(F.collect_set("digest").alias("copied"))
-    copied = F.coalesce(F.array_contains("copied", F.col("digest")), F.lit(False))
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(key.alias("key"), text.alias("text"))
+    total = rows.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
+    shards = max(-(-total // SHARD_BYTES), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    digest = F.sha2("text", 256)
+    rows = rows.withColumn("rid", F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"))
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("key", "rid"), F.lit(shards)).cast("int"))
+    narrow = rows.select("key", "rid", "shard", digest.alias("digest"))
+    firsts = narrow.groupBy("digest").agg(F.min("key").alias("first"), F.max("key").alias("last")).where("first < last")
+    copies = narrow.join(firsts.withColumnRenamed("digest", "_digest"), F.col("digest") == F.col("_digest")).where("key > first")
     # stored, so that the join below reads both sides from plain exchanges and its hot partitions can be split
-    confirmed = phrase_places(rows, window, phrase, places=False).groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
+    confirmed = phrase_shards(rows, window, phrase, counts=True).groupBy("h").agg(F.sum("n").alias("n")).where("n > 1")
     confirmed = saved(confirmed.select(F.col("h").alias("_h")))
-    places = phrase_places(rows, window, phrase).join(confirmed, F.col("h") == F.col("_h"), "left_semi")
-    places = places.groupBy(F.col("key").alias("_key")).agg(F.collect_list("at").alias("places"))
-    held = by_id.join(places, F.col("key") == F.col("_key")).join(copies, F.col("key") == F.col("_copy"), "left").where(~copied)
-    windows = window_rows(held, window, phrase)
-    first = Window.partitionBy("w", "v").orderBy("key", "at")
-    repeats = windows.withColumn("rank", F.rank().over(first)).where((F.col("length") > 0) | (F.col("rank") > 1))
-    repeats = repeats.groupBy(F.col("key").alias("_key")).agg(
-        F.collect_list("at").alias("starts"), F.collect_list(F.greatest("length", F.lit(1))).alias("lengths")
-    )
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        for batch in _blocks(batches):
-            counts, removed, spans, kept = [], [], [], []
-            starts, lengths, whole = batch.column("starts"), batch.column("lengths"), batch.column("copy").to_pylist()
-            for k, text in enumerate(_texts(batch)):
-                words = text.split()
-                gone = np.zeros(len(words) + 1, np.int32)
-                if whole[k] and len(words) >= window:
-                    gone[0] = 1
-                elif starts[k].is_valid:
-                    a = starts[k].values.to_numpy().astype(np.int64)
-                    b = a + lengths[k].values.to_numpy() + window - 1
-                    fits = b <= len(words)
-                    np.add.at(gone, a[fits], 1)
-                    np.add.at(gone, b[fits], -1)
-                out = np.cumsum(gone[:-1]) > 0
-                edge = np.flatnonzero(np.diff(np.r_[False, out, False].view(np.int8)))
-                counts.append(len(words))
-                removed.append(int(out.sum()))
-                spans.append([{"start": s, "end": e} for s, e in edge.reshape(-1, 2).tolist()])
-                kept.append(b" ".join(w for w, o in zip(words, out.tolist(), strict=True) if not o) if len(edge) else b" ".join(words))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, kinds), pa.array(kept, pa.binary()).cast(pa.string())],
-                names=["doc_id", "n_words", "n_removed", "spans", "kept_text"],
-            )
-
-    met = by_id.join(repeats, F.col("key") == F.col("_key"), "left").join(copies, F.col("key") == F.col("_copy"), "left")
-    doc_id = F.nullif("key", F.lit((1 << 63) - 1)).alias("doc_id")
-    met = met.select(doc_id, "starts", "lengths", copied.alias("copy"), "text")
-    return met.mapInArrow(work, "doc_id long, n_words long, n_removed long, spans array<struct<start: long, end: long>>, kept_text string")
+    phrases = phrase_shards(rows, window, phrase).join(confirmed, F.col("h") == F.col("_h"), "left_semi")
+    none = F.lit(None).cast("long")
+    side = phrases.select("shard", "h", none.alias("key"), none.alias("rid")).unionByName(copies.select("shard", none.alias("h"), "key", "rid"))
+    # both uses of the texts take the same columns, so that they are one exchange
+    texts = rows.select("shard", "key", "rid", "text").groupBy("shard")
+    windows = texts.cogroup(side.groupBy("shard")).applyInArrow(lambda a, b: shard_windows(a, b, window, phrase), _REPEAT)
+    first = Window.partitionBy("w", "v").orderBy("key", "rid", "at")
+    repeats = windows.withColumn("rank", F.row_number().over(first)).where((F.col("length") > 0) | (F.col("rank") > 1))
+    repeats = repeats.select("shard", "key", "rid", "at", "length").groupBy("shard")
+    return texts.cogroup(repeats).applyInArrow(lambda a, b: without_repeats(a, b, window), _KEPT)
 
 
 def op1_repeats(spark, sf_dir: str) -> DataFrame:
     found = drop_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+OP1_SQL = r"""
+WITH texts AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), words AS (
+    SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM texts
+), windows AS (
+    SELECT doc_id, start, array_to_string(words[start:start + 19], ' ') AS passage
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS start FROM texts WHERE len(words) >= 20)
+), repeats AS (
+    SELECT doc_id, start FROM windows
+    QUALIFY row_number() OVER (PARTITION BY passage ORDER BY doc_id, start) > 1
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(start, start + 20)) AS place FROM repeats
+), kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS text, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id
+)
+SELECT t.doc_id, len(t.words) AS n_words, len(t.words) - coalesce(k.n, 0) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM texts t LEFT JOIN kept k ON t.doc_id = k.doc_id
+"""

@@ -167,8 +167,8 @@ def test_simhash_of_no_rows(documents):
 
 
 def brute_repeats(rows):
-    """Per row: words, removed words, digest of the rest. Rows of one id are the same document."""
-    order = sorted({(float("inf") if i is None else i, t or "") for i, t in rows})
+    """Per row: words, removed words, digest of the rest. Rows of one id and text are the same document."""
+    order = sorted({(float("inf") if i is None else i, t or "") for i, t in rows}, key=lambda r: (r[0], hashlib.sha256(r[1].encode()).hexdigest()))
     seen, gone = set(), {}
     for i, t in order:
         words = t.encode().split()
@@ -186,6 +186,16 @@ def brute_repeats(rows):
     return sorted(out)
 
 
+def look_alikes():
+    """Texts whose 20 words differ in one long word only, of the kind that polynomial hashes modulo 2**64 confuse."""
+    one = "a"
+    while len(one) < 2048:
+        one += one.translate(str.maketrans("ab", "ba"))
+    other = one.translate(str.maketrans("ab", "ba"))
+    rest = " ".join(f"q{k}" for k in range(19))
+    return [(800, f"{rest} {one}"), (801, f"{rest} {other}"), (802, f"{other} {rest} {other}")]
+
+
 def repeat_rows():
     rng = random.Random(2)
     word = lambda n: [f"w{rng.randrange(40)}" for _ in range(n)]
@@ -195,12 +205,14 @@ def repeat_rows():
         parts = [p if rng.random() < 0.5 else p[: rng.randrange(1, len(p))] for p in rng.sample(passages, 3)]
         rows.append((k * 3, "\n".join(" ".join(word(rng.randrange(30)) + p) for p in parts)))
     again = " ".join(word(40))
-    return [*rows, (500, f"{again} {again} {again}"), (501, "a " * 90), (502, None), (503, ""), (504, "é ü\x1cz " * 30), (0, rows[0][1]), (None, rows[5][1])]
+    ends = " ".join(word(20))
+    twice = [(700, again), (701, f"a b c {ends}"), (701, f"{ends} u1"), (701, " ".join(word(40))), (700, again), (702, ends)]
+    return [*rows, *twice, *look_alikes(), (500, f"{again} {again} {again}"), (501, "a " * 90), (502, None), (503, ""), (504, "é ü\x1cz " * 30), (0, rows[0][1]), (None, rows[5][1])]
 
 
-@pytest.mark.parametrize("block", [repeats.BLOCK_BYTES, 500])
+@pytest.mark.parametrize("block", [repeats.SHARD_BYTES, 500])
 def test_repeats_equal_brute_force(documents, monkeypatch, block):
-    monkeypatch.setattr(repeats, "BLOCK_BYTES", block)
+    monkeypatch.setattr(repeats, "SHARD_BYTES", block)
     rows = repeat_rows()
     found = repeats.drop_repeats(documents(rows))
     digests = found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256)).collect()
@@ -216,15 +228,36 @@ def test_repeats_of_no_rows_and_long_texts(documents):
     assert found == {1: 0, 2: 200_000}
 
 
-def test_words_are_hashed_alike_wherever_they_stand(monkeypatch):
+def test_words_are_numbered_alike_wherever_they_stand(monkeypatch):
     monkeypatch.setattr(repeats, "_PIECE", 64)
     text = ("one two\tthree\x0bfour \x1c " + "y" * 200 + "\n").encode() * 5
-    hashes = repeats.word_hashes(text)
+    rows, digests = repeats.word_numbers([text, b"", b"two"])
     words = text.split()
-    assert len(hashes) == len(words) and len(set(hashes.tolist())) == len(set(words))
-    assert all(hashes[k] == hashes[words.index(w)] for k, w in enumerate(words))
-    line, width = repeats.symbols(hashes)
+    assert len(rows[0]) == len(words) and len(rows[1]) == 0 and rows[2][0] == rows[0][1]
+    assert len(digests) == len(set(words)) and all(rows[0][k] == rows[0][words.index(w)] for k, w in enumerate(words))
+    line, width = repeats.symbols(rows[0], len(digests))
     assert width == 1 and len(line) == len(words) and len(set(line)) == len(set(words))
+    wide, width = repeats.symbols(np.array([0, 0xD000, 70_000], np.int32), 0x110000)
+    assert width == 2 and len(wide) == 6 and len({wide[:2], wide[2:4], wide[4:]}) == 3
+
+
+def test_places_come_from_the_automaton_alone(documents, monkeypatch):
+    rows = repeat_rows()
+    assert any(r.n_removed for r in repeats.drop_repeats(documents(rows)).collect())
+    shard = repeats.Shard([b" ".join(b"w%d" % (k % 50) for k in range(200))])
+    everywhere = np.unique(shard.phrases)
+    assert len(shard.located(everywhere)) == 181 and len(shard.located(everywhere[:0])) == 0
+
+    class Deaf:
+        def __init__(self, *_):
+            pass
+
+        add_word = make_automaton = lambda self, *_: None
+        __len__ = lambda self: 1
+        iter = lambda self, _: iter(())
+
+    monkeypatch.setattr(repeats.ahocorasick, "Automaton", Deaf)
+    assert len(shard.located(everywhere)) == 0
 
 
 def vectors():
