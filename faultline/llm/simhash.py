@@ -206,12 +206,18 @@ def whole_groups(batches: Iterator[pa.RecordBatch], rows: int = 20_000) -> Itera
         yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
 
 
-def _grouped(docs: DataFrame, shingle: int, max_bits: int) -> DataFrame:
-    """(doc_id, fp, h1, h2, component) of every row; ``component`` is the least fingerprint reachable, as a signed long."""
-    prints = saved(fingerprints(docs, shingle))
-    classes = saved(prints.select("fp", F.col("fp").alias("rep")).distinct())
-    groups = connected_components(near_edges(classes, max_bits)).select(F.col("node").alias("_fp"), "component")
-    return prints.join(groups, F.col("fp") == F.col("_fp"), "left").select("doc_id", "fp", "h1", "h2", F.coalesce("component", "fp").alias("component"))
+def _grouped(prints: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, first) per fingerprint: the first row of its group, as a struct (no id, doc_id, h1, h2); rows without id come last.
+
+    Rows are first reduced to one per fingerprint, so groups are made of fingerprints however many rows these have.
+    """
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h1", "h2"))
+    classes = saved(prints.groupBy("fp").agg(first.alias("own")))
+    groups = connected_components(near_edges(classes.select("fp", F.col("fp").alias("rep")), max_bits))
+    groups = groups.select(F.col("node").alias("_fp"), "component")
+    named = saved(classes.join(groups, F.col("fp") == F.col("_fp"), "left").select("fp", "own", F.coalesce("component", "fp").alias("component")))
+    firsts = saved(named.groupBy(F.col("component").alias("_c")).agg(F.min("own").alias("first")))
+    return saved(named.join(firsts, F.col("component") == F.col("_c")).select("fp", "first"))
 
 
 def simhash_components(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
@@ -222,11 +228,9 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits:
     repeats an id; a row with a null id is a member of its group but never its name, and a group of such rows has none.
     An empty table gives an empty result. Other columns are ignored.
     """
-    rows = saved(_grouped(docs, shingle, max_bits))
-    names = rows.groupBy(F.col("component").alias("_c")).agg(F.min("doc_id").alias("component_id"))
-    return rows.join(names, F.col("component") == F.col("_c")).select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    prints = saved(fingerprints(docs, shingle))
+    named = _grouped(prints, max_bits).select(F.col("fp").alias("_fp"), F.col("first.doc_id").alias("component_id"))
+    return prints.join(named, F.col("fp") == F.col("_fp")).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
@@ -236,8 +240,7 @@ def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: in
     last. Rows that repeat id and text are in one group, so one of them stays. An empty table stays empty; columns of
     any name are carried along.
     """
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "h1", "h2")).alias("first")
-    keep = _grouped(docs, shingle, max_bits).groupBy("component").agg(first).select("first.h1", "first.h2")
+    keep = _grouped(saved(fingerprints(docs, shingle)), max_bits).select("first.h1", "first.h2").distinct()
     h1, h2, k1, k2 = fresh(docs, "_h1", "_h2", "_k1", "_k2")
     keep = saved(keep.toDF(k1, k2))
     marked = docs.withColumns(dict(zip((h1, h2), _row_hashes(), strict=True)))
