@@ -288,6 +288,39 @@ def test_embedding_components(spark):
     assert embedding_dedup.embedding_components(frame.limit(0)).count() == 0
 
 
+def test_neighbours_on_both_sides_of_a_task_border_meet(spark):
+    """One row a task, so every link of this chain lies across a border; all keys are alike, so order is by hash of the id."""
+    rows = [(k, 1, [1.0, 0.001 * k]) for k in range(40)]
+    frame = spark.createDataFrame(rows, "rep long, n long, embedding array<double>")
+    links = {(r.a, r.b) for r in embedding_dedup.near_links(frame, task_bytes=600).collect()}
+    assert smallest_reachable(range(40), links) == dict.fromkeys(range(40), 0)
+
+
+@pytest.mark.parametrize("rows", [6_000, 60_000])
+def test_recall_of_pairs_at_the_threshold(rows):
+    """Planted pairs at cosine 0.9 to 0.92 among random vectors: the share that lies within a window in some pass."""
+    rng = np.random.default_rng(rows)
+    half = rows // 2
+    a = rng.normal(size=(half, 64))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    b = rng.normal(size=(half, 64))
+    b -= np.einsum("ij,ij->i", a, b)[:, None] * a
+    b /= np.linalg.norm(b, axis=1)[:, None]
+    cosine = rng.uniform(0.9, 0.92, half)[:, None]
+    passes, window = embedding_dedup.search_size(rows)
+    keys = embedding_dedup.sort_keys(np.concatenate([a, cosine * a + np.sqrt(1 - cosine**2) * b]), passes)
+    met = np.zeros(half, bool)
+    for p in range(passes):
+        place = np.argsort(np.argsort(keys[:, p], kind="stable"))
+        met |= np.abs(place[:half] - place[half:]) <= window
+    assert met.mean() >= 0.9
+
+
+def test_search_grows_with_the_table():
+    sizes = [embedding_dedup.search_size(n) for n in (0, 1, 1000, 10**5, 10**7, 10**9)]
+    assert sizes == sorted(sizes) and sizes[0] == (12, 48) and sizes[-1][1] == 1000
+
+
 def test_window_follows_dense_runs_to_their_end():
     units = np.repeat(np.eye(4), [3, 200, 5, 1], axis=0)
     found = {(a, b) for i, j in embedding_dedup.window_links(units, 2, 0.9) for a, b in zip(i.tolist(), j.tolist(), strict=True)}
