@@ -1,30 +1,20 @@
 """Greedy leader clustering of names by similarity, distributed and exact.
 
-Names are visited in rank order; a name not yet taken leads, and takes every free name that is similar enough.
-Sequentially that is one pass with N leaders times N comparisons. Here ranks are worked off in batches: every
-round takes the best-ranked undecided names, finds the undecided names similar to them with an equality join on
-string pieces, settles the batch in rank order, and removes everybody the new leaders take. Large groups of
-similar names vanish with their first leader, so their pairs are never formed.
+Names are visited in rank order; a name not yet taken leads, and takes every free name that is similar enough. The
+leaders are thus the rank-ordered independent set of the graph of similar names. All similar pairs are found once, by an
+equality join on string pieces, verified and stored. Leaders are then elected by joins alone: a name whose better-ranked
+neighbours are all taken leads, its neighbours are taken and leave the graph with their pairs, and so on. A round
+elects all such names at once, wherever they are, so the number of rounds is the longest chain of decisions that depend on
+each other and not the number of leaders.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import reduce
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faultline.functions.similarity import ratio
-from faultline.session import use_checkpoints
-
-FIRST_BATCH = 64
-BATCH_GROWTH = 16
-# A batch comes out of a top-k, which ends in one task; this many short names are no burden there.
-LARGEST_BATCH = 131_072
-PAIR_BUDGET = 200_000_000
-PAIRS_IN_TASK = 5_000_000
+from faultline.session import stored
 
 
 def _distance_limit(total_length: Column, threshold: float) -> Column:
@@ -72,101 +62,64 @@ def _probes(nodes: DataFrame, threshold: float) -> DataFrame:
 _PIECE = ["n", "i", "piece"]
 
 
-def candidate_pairs(batch: DataFrame, others: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (form, other) that may reach the threshold: all that do, and few that do not."""
-    one = _pieces(batch, threshold).join(_probes(others, threshold), _PIECE)
-    two = _probes(batch, threshold).join(_pieces(others, threshold), _PIECE)
-    pairs = one.select(F.col("long_form").alias("form"), F.col("short_form").alias("other")).unionByName(
-        two.select(F.col("short_form").alias("form"), F.col("long_form").alias("other"))
-    )
-    return pairs.where("form <> other").distinct()
+def _met(longer: DataFrame, shorter: DataFrame, threshold: float) -> DataFrame:
+    """(long_form, short_form) of names that share a piece where it may lie; of a pair of equal length either may be the longer."""
+    return _pieces(longer, threshold).join(_probes(shorter, threshold), _PIECE).select("long_form", "short_form")
 
 
-def _pair_estimate(batch: DataFrame, others: DataFrame, threshold: float) -> int:
-    """How many rows the joins of ``candidate_pairs`` make, from counts per piece."""
+def candidate_pairs(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (form, other) that may reach the threshold: all that do, and few that do not."""
+    pairs = _met(left, right, threshold).toDF("form", "other").unionByName(_met(right, left, threshold).toDF("other", "form"))
+    return pairs.where("form <> other").distinct()
 
-    def matches(left: DataFrame, right: DataFrame) -> DataFrame:
-        a = left.groupBy(*_PIECE).agg(F.count("*").alias("a"))
-        b = right.groupBy(*_PIECE).agg(F.count("*").alias("b"))
-        return a.join(b, _PIECE).agg(F.sum(F.col("a") * F.col("b")).alias("pairs"))
 
-    both = matches(_pieces(batch, threshold), _probes(others, threshold)).unionByName(
-        matches(_probes(batch, threshold), _pieces(others, threshold))
+def similar_pairs(nodes: DataFrame, threshold: float) -> DataFrame:
+    """(first, second, first_rank): all pairs of ``nodes`` (form, rank) that reach the threshold, the better-ranked name first."""
+    met = _met(nodes, nodes, threshold).where("long_form <> short_form")
+    once = met.select(F.least("long_form", "short_form").alias("a"), F.greatest("long_form", "short_form").alias("b")).distinct()
+    similar = once.where(ratio(F.col("a"), F.col("b")) >= threshold)
+    ranked = similar.join(nodes.select(F.col("form").alias("a"), F.col("rank").alias("a_rank")), "a")
+    ranked = ranked.join(nodes.select(F.col("form").alias("b"), F.col("rank").alias("b_rank")), "b")
+    ahead = F.col("a_rank") < F.col("b_rank")
+    return ranked.select(
+        F.when(ahead, F.col("a")).otherwise(F.col("b")).alias("first"),
+        F.when(ahead, F.col("b")).otherwise(F.col("a")).alias("second"),
+        F.when(ahead, F.col("a_rank")).otherwise(F.col("b_rank")).alias("first_rank"),
     )
-    return both.agg(F.coalesce(F.sum("pairs"), F.lit(0))).first()[0]
 
 
-def _taken(pairs: DataFrame) -> DataFrame:
-    """Names of a batch that are not leaders: (form).
+def elect(pairs: DataFrame) -> tuple[DataFrame, int]:
+    """((first, second) with all pairs in which a leader takes a name, number of rounds), given pairs (first, second).
 
-    ``pairs`` are the similar pairs inside the batch, at most ``PAIRS_IN_TASK`` of them. They go through one task
-    in rank order; what it keeps in memory are names of the batch.
+    In a round, names that stand second in no pair that is left lead: nobody who could take them is undecided. Whoever stands second
+    to them is taken, and all pairs of taken names go. A name left without pairs leads as well.
     """
-
-    def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        out: set[str] = set()
-        for batch in batches:
-            fresh = []
-            for form, other in zip(batch["form"], batch["other"]):
-                # Every pair that could take ``form`` has a lower rank and was seen before.
-                if form not in out and other not in out:
-                    out.add(other)
-                    fresh.append(other)
-            yield pd.DataFrame({"form": fresh})
-
-    ordered = pairs.select("rank", "form", "other").coalesce(1).sortWithinPartitions("rank")
-    return ordered.select("form", "other").mapInPandas(visit, "form string")
-
-
-def greedy_leaders(
-    nodes: DataFrame, threshold: float, *, first_batch: int = FIRST_BATCH, growth: int = BATCH_GROWTH,
-    pair_budget: int = PAIR_BUDGET, pairs_in_task: int = PAIRS_IN_TASK,
-) -> DataFrame:
+    taking = None
+    left, rounds = stored(pairs.select("first", "second")), 0
+    while not left.isEmpty():
+        rounds += 1
+        leaders = left.select("first").distinct().join(left.select(F.col("second").alias("first")).distinct(), "first", "left_anti")
+        won = stored(left.join(leaders, "first", "left_semi"))
+        taking = won if taking is None else taking.unionByName(won)
+        taken = won.select("second").distinct()
+        rest = left.join(taken, "second", "left_anti").join(taken.select(F.col("second").alias("first")), "first", "left_anti")
+        left = stored(rest)
+    return pairs.select("first", "second").limit(0) if taking is None else taking, rounds
+
+
+def greedy_leaders(nodes: DataFrame, threshold: float) -> DataFrame:
     """Leader of every node: (form, leader).
 
     nodes      distinct (form, rank); ``rank`` is any orderable, unique column
     threshold  least similarity, 0-100, on which a leader takes a name
 
-    The batch grows while the candidate pairs stay within ``pair_budget`` and the similar pairs inside the batch
-    within ``pairs_in_task``; it shrinks, down to one name, when they do not. The limits only steer the size of
-    the batch; they drop no pair.
+    The stored graph holds every similar pair once. Taken names get the best-ranked of the leaders they are similar to.
     """
-    use_checkpoints(nodes.sparkSession)
-    undecided = nodes.select("form", "rank").checkpoint()
-    left = undecided.count()
-    done: list[DataFrame] = []
-    size = first_batch
-    while left:
-        taken = min(size, left)
-        batch = (undecided.orderBy("rank").limit(taken) if taken < left else undecided).checkpoint()
-        # More than one name per batch only while its pairs fit; a single name is always in order.
-        if taken > 1 and taken * left > pair_budget and _pair_estimate(batch, undecided, threshold) > pair_budget:
-            size = max(1, taken // 4)
-            continue
-        pairs = candidate_pairs(batch, undecided, threshold).withColumn("score", ratio(F.col("form"), F.col("other")))
-        similar = pairs.where(F.col("score") >= threshold).select("form", "other")
-        similar = similar.join(batch, "form").join(
-            undecided.select(F.col("form").alias("other"), F.col("rank").alias("other_rank")), "other"
-        )
-        similar = similar.where("rank < other_rank").checkpoint()
-        inside = similar.join(batch.select(F.col("form").alias("other")), "other", "left_semi")
-        if taken > 1 and inside.limit(pairs_in_task + 1).count() > pairs_in_task:
-            size = max(1, taken // 4)
-            continue
-        followers = _taken(inside).checkpoint()
-        leaders = batch.join(followers, "form", "left_anti").select("form", F.col("form").alias("leader"))
-        captured = (
-            similar.join(followers, "form", "left_anti")
-            .groupBy(F.col("other").alias("form"))
-            .agg(F.min_by("form", "rank").alias("leader"))
-        )
-        settled = leaders.unionByName(captured).checkpoint()
-        done.append(settled)
-        if taken == left:
-            break
-        undecided = undecided.join(settled.select("form"), "form", "left_anti").checkpoint()
-        left = undecided.count()
-        size = min(size * growth, LARGEST_BATCH)
-    if not done:
-        return undecided.select("form", F.col("form").alias("leader"))
-    return reduce(DataFrame.unionByName, done)
+    nodes = stored(nodes.select("form", "rank"))
+    pairs = stored(similar_pairs(nodes, threshold))
+    won, _ = elect(pairs)
+    # a leader may have been elected after its neighbour was taken by another one that ranks lower
+    takers = nodes.select("form").join(won.select(F.col("second").alias("form")).distinct(), "form", "left_anti")
+    takers = stored(takers.withColumnRenamed("form", "first"))
+    taken = pairs.join(takers, "first", "left_semi").groupBy(F.col("second").alias("form")).agg(F.min_by("first", "first_rank").alias("leader"))
+    return takers.select(F.col("first").alias("form"), F.col("first").alias("leader")).unionByName(taken)

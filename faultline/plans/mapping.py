@@ -58,7 +58,7 @@ def label_aliases(pairs: DataFrame, review_top_n: int = DEFAULTS.review_top_n, o
 
 def manufacturer_alias(
     events: DataFrame, column: str = "manufacturer_d_name", threshold: float = DEFAULTS.alias_score,
-    review_top_n: int = DEFAULTS.review_top_n, **clustering,
+    review_top_n: int = DEFAULTS.review_top_n,
 ) -> DataFrame:
     """One row per distinct company name with the name it is filed under.
 
@@ -76,7 +76,7 @@ def manufacturer_alias(
         )
     )
     nodes = names.groupBy("form").agg(F.min("rank").alias("rank"))
-    clusters = greedy_leaders(nodes, threshold, **clustering)
+    clusters = greedy_leaders(nodes, threshold)
     labels = nodes.select(F.col("form").alias("leader"), F.col("rank.raw_name").alias("standardized_name"))
     pairs = names.select("raw_name", "form").join(clusters, "form").join(labels, "leader")
     return label_aliases(pairs.select("raw_name", "standardized_name"), review_top_n)

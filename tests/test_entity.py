@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from faultline.functions.similarity import ratios, token_set_score
 from faultline.operators.best_match import best_match
-from faultline.operators.leaders import candidate_pairs, greedy_leaders
+from faultline.operators.leaders import candidate_pairs, elect, greedy_leaders, similar_pairs
 from faultline.plans import mapping
 
 
@@ -36,14 +36,47 @@ def greedy(names, threshold):
     return taken
 
 
-@pytest.mark.parametrize("threshold,first,budget,in_task", [(90, 64, 10**9, 10**6), (80, 3, 200, 5), (60, 2, 50, 3)])
-def test_leaders_equal_the_sequential_result(spark, threshold, first, budget, in_task):
+@pytest.mark.parametrize("threshold", [90, 80, 60])
+def test_leaders_equal_the_sequential_result(spark, threshold):
     rng = random.Random(threshold)
     names = variants(rng, 70) + [""]
     rng.shuffle(names)
     nodes = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "form string, rank int")
-    found = greedy_leaders(nodes, threshold, first_batch=first, growth=4, pair_budget=budget, pairs_in_task=in_task)
+    found = greedy_leaders(nodes, threshold)
     assert {r["form"]: r["leader"] for r in found.collect()} == greedy(names, threshold)
+    assert greedy_leaders(nodes.limit(0), threshold).count() == 0
+
+
+def greedy_graph(nodes, pairs):
+    near = {n: {b for a, b in pairs if a == n} for n in nodes}
+    taken = set()
+    for n in nodes:
+        if n not in taken:
+            taken |= near[n]
+    return taken
+
+
+def test_election_takes_as_many_rounds_as_decisions_depend_on_each_other(spark):
+    def rounds(pairs):
+        taking, n = elect(spark.createDataFrame([(f"{a:04}", f"{b:04}") for a, b in pairs], "first string, second string"))
+        found = {int(r.second) for r in taking.collect()}
+        assert found == greedy_graph(sorted({x for p in pairs for x in p}), pairs)
+        return n
+
+    assert rounds([(0, k) for k in range(1, 200)]) == 1  # a large group goes with its first name
+    assert rounds([(k, j) for k in range(40) for j in range(k + 1, 40)]) == 1  # also if all are alike
+    assert rounds([(3 * k, 3 * k + 1) for k in range(100)]) == 1  # groups do not wait for each other
+    assert rounds([(k, k + 1) for k in range(12)]) == 6  # a chain is the worst case: two names a round
+    rng = random.Random(5)
+    pairs = {tuple(sorted(rng.sample(range(300), 2))) for _ in range(900)}
+    assert rounds(pairs) <= 8
+
+
+def test_no_task_holds_all_names(spark):
+    names = variants(random.Random(1), 60)
+    nodes = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "form string, rank int")
+    plan = similar_pairs(nodes, 80)._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
 @pytest.mark.parametrize("threshold", [95, 90, 75, 50])
