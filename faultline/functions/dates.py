@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from faultline.functions.text import once
+
 _COMPACT = "^[0-9]{8}$"
 _COMPACT_TIME = "^[0-9]{8}[T ][0-9:.+Z-]*$"
 _ISO = "^[0-9]{4}(-[0-9]{1,2}(-[0-9]{1,2}([T ][0-9:.+Z -]*)?)?)?$"
@@ -37,19 +39,17 @@ def mixed_date(text: Column) -> Column:
     """Compact or ISO, with or without time; bare year or month; year or month first with slashes, dots or dashes; or with
     the month spelled out. Two-digit years up to 68 belong to this century."""
 
-    def part(shape: str, group: int) -> Column:
-        return F.regexp_extract(text, shape, group)
+    def month_first(part: Column) -> Column:
+        century = F.when(F.length(part[2]) == 4, "").when(part[2] <= "68", "20").otherwise("19")
+        return F.concat(century, part[2], F.lit("-"), part[0], F.lit("-"), part[1]).try_cast("date")
 
-    year = part(_MONTH_FIRST, 3)
-    century = F.when(F.length(year) == 4, "").when(year <= "68", "20").otherwise("19")
-    month_first = F.concat(century, year, F.lit("-"), part(_MONTH_FIRST, 1), F.lit("-"), part(_MONTH_FIRST, 2))
-    year_first = F.concat_ws("-", *[part(_YEAR_FIRST, k) for k in (1, 2, 3)])
+    parts = F.split(text, "[/.-]")
     out = (
         F.when(text.rlike(_COMPACT), _compact_to_iso(text).try_cast("date"))
         .when(text.rlike(_ISO), text.try_cast("date"))
         .when(text.rlike(_COMPACT_TIME), _compact_to_iso(text).try_cast("date"))
-        .when(text.rlike(_MONTH_FIRST), month_first.try_cast("date"))
-        .when(text.rlike(_YEAR_FIRST), year_first.try_cast("date"))
+        .when(text.rlike(_MONTH_FIRST), once(parts, month_first))
+        .when(text.rlike(_YEAR_FIRST), F.array_join(parts, "-").try_cast("date"))
     )
     plain = F.replace(text, F.lit(","), F.lit(""))
     for shape, layout in _LAYOUTS:

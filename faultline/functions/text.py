@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -41,6 +43,11 @@ def applicant_key(name: Column) -> Column:
     return F.when(F.length(name) > 0, company_key(name))
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` refers to it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def denoise_description(text: Column) -> Column:
     """Description without codes, lot and part numbers, dimensions and versions; null gives ''."""
     out = F.coalesce(text, F.lit(""))

@@ -9,7 +9,7 @@ from faultline.config import DEFAULTS
 from faultline.fixed_values import TIER_EXACT, TIER_HIGH, TIER_LOW, TIER_NONE
 from faultline.functions.similarity import ratio, sorted_form, token_sort_ratio
 from faultline.functions.text import company_key, denoise_description
-from faultline.operators.best_match import NAME_BLOCK, best_match
+from faultline.operators.best_match import best_match
 from faultline.operators.joins import flag_members
 from faultline.operators.leaders import candidate_pairs, greedy_leaders
 
@@ -95,7 +95,7 @@ def match_names(dim: DataFrame, order: str = "product_code") -> DataFrame:
 
 def map_recalls(
     recalls: DataFrame, dim: DataFrame, *, high: float = DEFAULTS.high_score, low: float = DEFAULTS.low_score,
-    order: str = "product_code", name_block: int = NAME_BLOCK,
+    order: str = "product_code",
 ) -> DataFrame:
     """Recalls with mapping tier, matched code, score and the flag for the core dashboard.
 
@@ -105,12 +105,10 @@ def map_recalls(
     """
     flagged = flag_members(recalls, "product_code", dim, "product_code", "_exact")
     cleaned = flagged.withColumn("_text", F.when(~F.col("_exact"), denoise_description(F.col("product_description"))))
-    # Matching is heavy on computing and light on bytes, so it is spread over all cores and not by size.
-    spread = 2 * recalls.sparkSession.sparkContext.defaultParallelism
-    texts = cleaned.select("_text").where("_text <> ''").distinct().repartition(spread, "_text")
+    texts = cleaned.select("_text").where("_text <> ''").distinct()
     matches = best_match(
         texts, "_text", match_names(dim, order), name="device_name", code="code", place="first_place",
-        cutoff=low, block=name_block,
+        cutoff=low,
     ).where("match_score IS NOT NULL")
 
     # Rows that need no text match get a key that matches nothing and spreads evenly.
