@@ -1,8 +1,8 @@
-"""String similarity on a 0-100 scale, as Arrow UDFs over native token handling.
+"""String similarity on a 0-100 scale: token handling in native columns, one Arrow UDF for common subsequences.
 
 The base measure is the normalised Indel similarity: twice the longest common subsequence over the summed
-lengths. The subsequence length comes from the bit-parallel recurrence of Hyyro (2004), run for all pairs of
-an Arrow batch at once where the strings fit 64 characters.
+lengths. The subsequence length comes from the bit-parallel recurrence of Hyyro (2004), run for many pairs of
+an Arrow batch at once, with as many 64-bit words a pair as its shorter string needs.
 """
 
 from __future__ import annotations
@@ -26,15 +26,23 @@ def _codes(texts: list[str], width: int, pad: int) -> np.ndarray:
     return codes
 
 
-def _lcs_short(left: list[str], right: list[str]) -> np.ndarray:
-    a = _codes(left, _WORD, 0xFFFFFFFF)
-    b = _codes(right, max(1, max(map(len, right))), 0xFFFFFFFE)
-    rest = np.full(len(left), 0xFFFFFFFFFFFFFFFF, dtype=np.uint64)
+def _lcs_words(short: list[str], long: list[str], words: int) -> np.ndarray:
+    """Common subsequence lengths of pairs whose first strings have at most ``words`` * 64 characters."""
+    a = _codes(short, words * _WORD, 0xFFFFFFFF)
+    b = _codes(long, max(1, max(map(len, long))), 0xFFFFFFFE)
+    rest = np.full((len(short), words), 0xFFFFFFFFFFFFFFFF, dtype=np.uint64)
     for j in range(b.shape[1]):
-        match = np.packbits(a == b[:, j : j + 1], axis=1, bitorder="little").view("<u8").ravel()
+        match = np.packbits(a == b[:, j : j + 1], axis=1, bitorder="little").view("<u8")
         hit = rest & match
-        rest = (rest + hit) | (rest - hit)
-    return _WORD - np.bitwise_count(rest).astype(np.int64)
+        kept = rest - hit
+        carry = np.zeros(len(short), dtype=np.uint64)
+        for w in range(words):
+            total = rest[:, w] + hit[:, w]
+            over = total < hit[:, w]
+            total += carry
+            carry = (over | (total < carry)).astype(np.uint64)
+            rest[:, w] = total | kept[:, w]
+    return words * _WORD - np.bitwise_count(rest).astype(np.int64).sum(axis=1)
 
 
 def char_masks(text: str) -> dict[str, int]:
@@ -54,17 +62,21 @@ def lcs_with_masks(masks: dict[str, int], length: int, other: str) -> int:
     return length - rest.bit_count()
 
 
-def lcs_lengths(left: list[str], right: list[str], chunk: int = 8192) -> np.ndarray:
-    """Longest common subsequence of each pair."""
+def lcs_lengths(left: list[str], right: list[str], cells: int = 8192 * _WORD) -> np.ndarray:
+    """Longest common subsequence of each pair; pairs of like size are worked on together, about ``cells`` characters at a time."""
+    swap = [len(a) > len(b) for a, b in zip(left, right, strict=True)]
+    short = [b if s else a for a, b, s in zip(left, right, swap, strict=True)]
+    long = [a if s else b for a, b, s in zip(left, right, swap, strict=True)]
     out = np.zeros(len(left), dtype=np.int64)
-    short = np.fromiter((len(a) <= _WORD and len(b) <= _WORD for a, b in zip(left, right)), bool, len(left))
-    places = np.flatnonzero(short)
-    for start in range(0, len(places), chunk):
-        part = places[start : start + chunk]
-        out[part] = _lcs_short([left[i] for i in part], [right[i] for i in part])
-    for i in np.flatnonzero(~short):
-        a, b = (left[i], right[i]) if len(left[i]) >= len(right[i]) else (right[i], left[i])
-        out[i] = lcs_with_masks(char_masks(a), len(a), b)
+    words = np.array([max(1, -(-len(a) // _WORD)) for a in short], dtype=np.int64)
+    order = np.lexsort((np.fromiter(map(len, long), np.int64, len(long)), words))
+    at = 0
+    while at < len(order):
+        size = int(words[order[at]])
+        end = min(int(np.searchsorted(words[order], size, side="right")), at + max(1, cells // (size * _WORD)))
+        part = order[at:end]
+        out[part] = _lcs_words([short[i] for i in part], [long[i] for i in part], size)
+        at = end
     return out
 
 
@@ -108,13 +120,14 @@ def _ratio(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         yield pd.Series(scores).astype("object").where(both, None)
 
 
-@F.pandas_udf(T.DoubleType())
-def _token_set(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+@F.pandas_udf(T.LongType())
+def _common(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for a, b in pairs:
-        yield pd.Series(
-            [None if x is None or y is None else token_set_score(set(x), set(y)) for x, y in zip(a, b)],
-            dtype="object",
-        )
+        both = (a.notna() & b.notna()).to_numpy()
+        lengths = np.zeros(len(a), dtype=np.int64)
+        if both.any():
+            lengths[both] = lcs_lengths(a[both].tolist(), b[both].tolist())
+        yield pd.Series(lengths).astype("object").where(both, None)
 
 
 def tokens(text: Column) -> Column:
@@ -141,9 +154,19 @@ def token_set_ratio(a: Column, b: Column) -> Column:
     """Similarity around the common token set S of A and B.
 
     100 if S is not empty and one side has no other tokens; else the best of S+A' against S+B', S against
-    S+A' and S against S+B'. An empty side gives 0.
+    S+A' and S against S+B'. An empty side gives 0. Sets and lengths are array functions; only the common subsequence of A' and B'
+    leaves the JVM.
     """
-    return _token_set(F.array_distinct(tokens(a)), F.array_distinct(tokens(b)))
+    left, right = F.array_distinct(tokens(a)), F.array_distinct(tokens(b))
+    rest_a = F.array_join(F.array_sort(F.array_except(left, right)), " ")
+    rest_b = F.array_join(F.array_sort(F.array_except(right, left)), " ")
+    s = F.length(F.array_join(F.array_intersect(left, right), " "))
+    m, n, common = F.length(rest_a), F.length(rest_b), _common(rest_a, rest_b)
+    gap = F.when(s > 0, 1).otherwise(0)
+    whole = 100.0 - 100.0 * (m + n - 2 * common) / F.greatest(2 * (s + gap) + m + n, F.lit(1))
+    part = lambda rest: F.when(s > 0, 100.0 - 100.0 * (gap + rest) / (2 * s + gap + rest))
+    score = F.when((F.size(left) == 0) | (F.size(right) == 0), 0.0).when((s > 0) & ((m == 0) | (n == 0)), 100.0)
+    return F.when(a.isNotNull() & b.isNotNull(), score.otherwise(F.greatest(whole, part(m), part(n))))
 
 
 def best_choice(scored, query: str, choice: str, score: str, ordinal: str, cutoff: float = 0.0):

@@ -703,6 +703,11 @@ _BODIES = {
     "indel_ratio": f"SELECT a_key, b_key, round({_RATIO}, 6) AS score FROM plain_pairs JOIN plain_lcs USING (x, y)",
     "token_sort": "SELECT * FROM sort_scores",
     "token_set": "SELECT p.a_key, p.b_key, round(s.score, 6) AS score FROM name_pairs p JOIN ts_scores s USING (a, b)",
+    "similarity_in_sql": f"""
+        SELECT a_key, b_key, r.score AS plain, o.score AS sorted, s.score AS sets
+        FROM (SELECT a_key, b_key, round({_RATIO}, 6) AS score FROM plain_pairs JOIN plain_lcs USING (x, y)) r
+        JOIN sort_scores o USING (a_key, b_key)
+        JOIN (SELECT p.a_key, p.b_key, round(s.score, 6) AS score FROM name_pairs p JOIN ts_scores s USING (a, b)) s USING (a_key, b_key)""",
     "extract_one": "SELECT a_key, b_key, score FROM (SELECT *, row_number() OVER (PARTITION BY a_key ORDER BY score DESC, b_key) AS n FROM all_scores WHERE score >= 80) WHERE n = 1",
     "extract_above": "SELECT a_key, b_key, score FROM all_scores WHERE score >= 90",
     "sorted_tokens": f"SELECT s_suppkey, {_sorted('company')} AS form FROM fx_companies",
@@ -713,6 +718,7 @@ _BODIES = {
     "best_text_match": """SELECT p.plain AS cleaned, b.device_name AS match_name, b.code AS match_code, round(b.score, 6) AS match_score
         FROM (SELECT DISTINCT plain FROM descriptions) p LEFT JOIN fuzzy_best b USING (plain)""",
 }
+_BODIES["kpis_in_sql"] = _BODIES["kpi_guards"]
 _COMMON["m_panel_guarded_60"] = f"SELECT *, {_panel_kpis(60, 3)} FROM panel_counts"
 
 ORACLES: dict[str, str] = {name: _sql(body) for name, body in _BODIES.items()}

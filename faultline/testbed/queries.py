@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from faultline.functions import dates, kpis, text
 from faultline.functions import json_fields as J
+from faultline.functions.registry import register_functions
 from faultline.functions.similarity import (
     best_choice,
     choices_above,
@@ -696,6 +697,40 @@ def token_set(t: Tables) -> DataFrame:
     return _name_pairs(t).select("a_key", "b_key", F.round(token_set_ratio(F.col("a"), F.col("b")), 6).alias("score"))
 
 
+_SIMILARITY_IN_SQL = """
+    SELECT a_key, b_key, round(indel_ratio(a, b), 6) AS plain, round(token_sort_ratio(a, b), 6) AS sorted, round(token_set_ratio(a, b), 6) AS sets
+    FROM {pairs}
+"""
+
+
+@query
+def similarity_in_sql(t: Tables) -> DataFrame:
+    """All three scores of every pair, by a query written in SQL with the registered functions."""
+    register_functions(t.spark)
+    return t.spark.sql(_SIMILARITY_IN_SQL, pairs=_name_pairs(t))
+
+
+_KPIS_IN_SQL = """
+    WITH counts AS (
+        SELECT l_suppkey, year(l_shipdate) AS year, count(*) AS events, count_if(l_linenumber = 7) AS recalls,
+               count_if(l_returnflag = 'R') AS clearances, count_if(l_linenumber = 7 AND l_tax = 0) AS class_i
+        FROM {lines} GROUP BY ALL
+    )
+    SELECT l_suppkey, year, events_per_100_clearances(events, clearances, 25) AS events_per_100_clearances,
+           recalls_per_100_clearances(recalls, clearances, 25) AS recalls_per_100_clearances,
+           recall_to_event_ratio(events, recalls) AS recall_to_event_ratio, severe_recall_share(class_i, recalls) AS severe_recall_share,
+           firm_share(recalls, class_i) AS firm_share
+    FROM counts
+"""
+
+
+@query
+def kpis_in_sql(t: Tables) -> DataFrame:
+    """The five KPIs by a query written in SQL with the registered functions."""
+    register_functions(t.spark)
+    return t.spark.sql(_KPIS_IN_SQL, lines=t.read("lineitem"))
+
+
 def _similar_names(t: Tables, cutoff: float) -> DataFrame:
     found = mapping.all_above(t.companies(), t.companies(), "s_suppkey", "company", cutoff).where("query_key <> choice_key")
     return found.select(F.col("query_key").alias("a_key"), F.col("choice_key").alias("b_key"), F.round("score", 6).alias("score"))

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from faultline.functions import dates, json_fields, kpis, rounding, similarity, text
+from faultline.functions.registry import register_functions
 from faultline.functions.similarity import ratio, token_set_ratio, token_sort_ratio
 
 
@@ -105,7 +106,30 @@ def test_lcs_against_the_table_method():
     rng = random.Random(1)
     words = ["".join(rng.choice("abcé 𝒳") for _ in range(rng.choice([0, 1, 5, 30, 63, 64, 65, 90]))) for _ in range(240)]
     left, right = words[:120], words[120:]
-    assert list(similarity.lcs_lengths(left, right, chunk=17)) == [plain_lcs(a, b) for a, b in zip(left, right)]
+    assert list(similarity.lcs_lengths(left, right, cells=17 * 64)) == [plain_lcs(a, b) for a, b in zip(left, right)]
+
+
+def test_lcs_of_long_strings_carries_from_word_to_word():
+    rng = random.Random(12)
+    texts = ["".join(rng.choice("abé") for _ in range(n)) for n in (0, 1, 63, 64, 65, 127, 128, 129, 200, 300)] + ["a" * 130, "a" * 64, "ab" * 90]
+    left, right = zip(*[(a, b) for a in texts for b in texts], strict=True)
+    assert list(similarity.lcs_lengths(list(left), list(right), cells=2000)) == [plain_lcs(a, b) for a, b in zip(left, right, strict=True)]
+
+
+def test_sql_functions_equal_the_columns(spark):
+    assert "token_set_ratio" in register_functions(spark)
+    pairs = [("a b c", "c b"), ("Acorn  tool", "tool acorn"), ("", "x"), ("", ""), (None, "x"), ("x y", None), ("abc d", "abd e"), ("é ü" * 40, "ü é" * 41)]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    a, b = F.col("a"), F.col("b")
+    columns = df.select(ratio(a, b), token_sort_ratio(a, b), token_set_ratio(a, b)).collect()
+    in_sql = spark.sql("SELECT indel_ratio(a, b), token_sort_ratio(a, b), token_set_ratio(a, b) FROM {t}", t=df).collect()
+    for x, y in zip(columns, in_sql, strict=True):
+        assert list(x) == pytest.approx(list(y)) if None not in x else list(x) == list(y)
+    for (m, n), got in zip(pairs, columns, strict=True):
+        expected = None if m is None or n is None else similarity.token_set_score(set(m.split()), set(n.split()))
+        assert got[2] == (expected if expected is None else pytest.approx(expected))
+    rates = "recall_to_event_ratio(1, 0), firm_share(1, 4), events_per_100_clearances(5, 9), events_per_100_clearances(5, 10), severe_recall_share(1, 2, 2)"
+    assert tuple(spark.sql(f"SELECT {rates}").first()) == (None, 0.25, None, 50.0, 0.5)
 
 
 def test_similarity_golden_values(spark):
