@@ -8,6 +8,7 @@ from hashlib import blake2b
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,15 +45,22 @@ def pieces(text: bytes) -> Iterator[bytes]:
     yield text[at:]
 
 
-def word_numbers(texts: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
-    """Each text as numbers of its words, equal for equal words only, and a 128-bit digest of each different word."""
-    known: dict[bytes, int] = {}
+class Numbers(dict):
+    """Numbers keys in the order they are first asked for."""
+
+    def __missing__(self, key: bytes) -> int:
+        self[key] = number = len(self)
+        return number
+
+
+def word_numbers(texts: list[bytes]) -> tuple[list[np.ndarray], list[bytes]]:
+    """Each text as numbers of its words, equal for equal words only, and the different words in order of their numbers."""
+    known = Numbers()
     rows = []
     for text in texts:
-        parts = [np.array([known.setdefault(w, len(known)) for w in piece.split()], np.int32) for piece in pieces(text)]
+        parts = [np.array(list(map(known.__getitem__, piece.split())), np.int32) for piece in pieces(text)]
         rows.append(np.concatenate(parts))
-    digests = b"".join(blake2b(w, digest_size=16).digest() for w in known)
-    return rows, np.frombuffer(digests, np.uint64).reshape(-1, 2)
+    return rows, list(known)
 
 
 def grams(words: np.ndarray, k: int, step: np.uint64 = _STEP) -> np.ndarray:
@@ -80,7 +88,7 @@ class Shard:
     """The words of some texts in one row, their phrases, and which windows lie within one text."""
 
     def __init__(self, texts: list[bytes], window: int = WINDOW_WORDS, phrase: int = PHRASE_WORDS):
-        rows, self.digests = word_numbers(texts)
+        rows, self.known = word_numbers(texts)
         self.window, self.phrase = window, phrase
         self.words = np.concatenate([*rows, np.zeros(0, np.int32)])
         sizes = np.array([len(r) for r in rows], np.int64)
@@ -90,7 +98,8 @@ class Shard:
         self.empty = n <= 0
         if self.empty:
             return
-        self.phrases = grams(self.digests[:, 0][self.words], phrase)
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, self.known), np.uint64, len(self.known))
+        self.phrases = grams(hashes[self.words], phrase)
         self.inside = self.text[:n] == self.text[window - 1 :]
         self.least = rolling(self.phrases, window - phrase + 1)
 
@@ -113,7 +122,7 @@ class Shard:
         """
         if self.empty or not len(confirmed):
             return np.zeros(0, np.int64)
-        line, width = symbols(self.words, len(self.digests))
+        line, width = symbols(self.words, len(self.known))
         span = self.phrase * width
         own = np.flatnonzero(np.isin(self.phrases, confirmed))
         own = own[np.unique(self.phrases[own], return_index=True)[1]]
@@ -133,9 +142,16 @@ class Shard:
     def window_digests(self, windows: np.ndarray) -> np.ndarray:
         """128 bits, in two longs, of the words of each window: a digest of its words' digests."""
         out = np.zeros((len(windows), 2), np.int64)
+        covered = np.zeros(len(self.words) + 1, np.int32)
+        np.add.at(covered, windows, 1)
+        np.add.at(covered, windows + self.window, -1)
+        used = np.unique(self.words[np.cumsum(covered[:-1]) > 0])
+        digests = np.zeros((len(self.known), 2), np.uint64)
+        words = b"".join([blake2b(self.known[k], digest_size=16).digest() for k in used.tolist()])
+        digests[used] = np.frombuffer(words, np.uint64).reshape(-1, 2)
         for at in range(0, len(windows), 1 << 14):
             own = windows[at : at + (1 << 14)]
-            wide = self.digests[self.words[own[:, None] + np.arange(self.window)]].tobytes()
+            wide = digests[self.words[own[:, None] + np.arange(self.window)]].tobytes()
             size = 16 * self.window
             found = b"".join(blake2b(wide[k : k + size], digest_size=16).digest() for k in range(0, len(wide), size))
             out[at : at + len(own)] = np.frombuffer(found, np.int64).reshape(-1, 2)
@@ -143,14 +159,16 @@ class Shard:
 
 
 def symbols(words: np.ndarray, different: int) -> tuple[str, int]:
-    """Word numbers as a text with one character for each different word, or two if there are too many; and how many."""
-    place = words.astype(np.uint32)
-    if different < 0x10F000:
-        place = place + np.uint32(1)
-        place[place >= 0xD800] += np.uint32(0x800)  # not the surrogates
-        return place.astype("<u4").tobytes().decode("utf-32-le"), 1
-    digits = np.stack([place // 0xD000, place % 0xD000], axis=1) + 1
-    return digits.astype("<u4").tobytes().decode("utf-32-le"), 2
+    """Word numbers as a text of equally many characters for each word, and how many.
+
+    The characters are 64 different ones: a node of the automaton looks through its children one by one, so an
+    alphabet of whole words would make its root slow.
+    """
+    width = 1
+    while 64**width < different:
+        width += 1
+    digits = np.stack([(words >> (6 * k)) & 63 for k in range(width)], axis=1) + 48
+    return digits.astype(np.uint8).tobytes().decode("ascii"), width
 
 
 def _cuts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -231,14 +231,13 @@ def test_repeats_of_no_rows_and_long_texts(documents):
 def test_words_are_numbered_alike_wherever_they_stand(monkeypatch):
     monkeypatch.setattr(repeats, "_PIECE", 64)
     text = ("one two\tthree\x0bfour \x1c " + "y" * 200 + "\n").encode() * 5
-    rows, digests = repeats.word_numbers([text, b"", b"two"])
+    rows, known = repeats.word_numbers([text, b"", b"two"])
     words = text.split()
-    assert len(rows[0]) == len(words) and len(rows[1]) == 0 and rows[2][0] == rows[0][1]
-    assert len(digests) == len(set(words)) and all(rows[0][k] == rows[0][words.index(w)] for k, w in enumerate(words))
-    line, width = repeats.symbols(rows[0], len(digests))
-    assert width == 1 and len(line) == len(words) and len(set(line)) == len(set(words))
-    wide, width = repeats.symbols(np.array([0, 0xD000, 70_000], np.int32), 0x110000)
-    assert width == 2 and len(wide) == 6 and len({wide[:2], wide[2:4], wide[4:]}) == 3
+    assert [known[k] for k in rows[0]] == words and len(rows[1]) == 0 and [known[k] for k in rows[2]] == [b"two"]
+    assert len(known) == len(set(words))
+    for numbers, different, expected in (([0, 1, 63], 64, 1), ([0, 64, 4095], 4096, 2), ([0, 5, 300_000], 300_001, 4)):
+        line, width = repeats.symbols(np.array(numbers, np.int32), different)
+        assert width == expected and len({line[k * width : (k + 1) * width] for k in range(3)}) == 3
 
 
 def test_places_come_from_the_automaton_alone(documents, monkeypatch):
