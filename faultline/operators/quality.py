@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,8 +26,6 @@ def _grade(value: Column, limit: float, warn_limit: float) -> Column:
     return F.when(value <= limit, "pass").when(value <= warn_limit, "warn").otherwise("fail")
 
 
-
-
 def failed(spark: SparkSession, name: str, details: str, threshold: float | None = None) -> DataFrame:
     """A failed check without a measurement, e.g. a missing table."""
     return spark.createDataFrame([(name, "fail", None, threshold, details)], QA_RESULT)
@@ -39,34 +37,66 @@ def _missing_column(df: DataFrame, check: str, column: str, threshold: float | N
     return failed(df.sparkSession, f"{check}_{column}", f"Column '{column}' not found", threshold)
 
 
-def table_checks(df: DataFrame, name: str, min_rows: int = 1, null_columns: Sequence[str] = (), max_null_rate: float = 0.05) -> DataFrame:
-    """Row count and null rates of one table, all from a single pass."""
-    known = [c for c in null_columns if c in df.columns]
-    row = df.agg(F.count("*").alias("_rows"), *[F.count_if(_is_missing(df, c)).alias(f"_null_{c}") for c in known])
+def _graded(name: str, status: Column, metric: Column, threshold: float | None, details: Column) -> Column:
+    return F.struct(
+        F.lit(name).alias("check_name"), status.alias("status"), metric.cast("double").alias("metric_value"),
+        F.lit(threshold).cast("double").alias("threshold"), details.alias("details"),
+    )
+
+
+def _row_limit(name: str, rows: Column, max_rows: int) -> Column:
+    details = F.concat(F.lit(f"{name}: "), count_text(rows), F.lit(f" rows (max {max_rows:,})"))
+    return _graded(f"row_limit_{name}", F.when(rows <= max_rows, "pass").otherwise("fail"), rows, max_rows, details)
+
+
+def _null_rate(column: str, nulls: Column, rows: Column, most: float) -> Column:
+    rate = F.coalesce(F.try_divide(nulls.cast("double"), rows.cast("double")), F.lit(0.0))
+    details = F.concat(F.lit(f"{column}: "), percent_text(rate), F.lit(f" null (max {most:.1%})"))
+    return _graded(f"null_rate_{column}", _grade(rate, most, most * 2), round_exact(rate, 4), most, details)
+
+
+def _unique(name: str, columns: Sequence[str], duplicates: Column, rows: Column) -> Column:
+    details = F.when(rows == 0, F.lit(f"{name}: empty DataFrame")).otherwise(
+        F.concat(F.lit(f"{name}: "), count_text(duplicates), F.lit(f" duplicates on {list(columns)}"))
+    )
+    return _graded(f"uniqueness_{name}", F.when(duplicates == 0, "pass").otherwise("fail"), duplicates, 0, details)
+
+
+def table_checks(
+    df: DataFrame,
+    name: str,
+    min_rows: int = 1,
+    null_columns: Sequence[str] | Mapping[str, float] = (),
+    max_null_rate: float = 0.05,
+    *,
+    key: Sequence[str] = (),
+    key_name: str | None = None,
+    max_rows: int | None = None,
+) -> DataFrame:
+    """Row count and limit, null rates and uniqueness of one table, all from a single scan.
+
+    With a key, counts are taken per key and then summed, so the pass that finds duplicates brings the others along.
+    """
+    rates = dict(null_columns) if isinstance(null_columns, Mapping) else dict.fromkeys(null_columns, max_null_rate)
+    known = [c for c in rates if c in df.columns]
+    counts = {"_rows": F.count("*")} | {f"_null_{c}": F.count_if(_is_missing(df, c)) for c in known}
+    if key:
+        per_key = df.groupBy(*[F.col(c).alias(f"_key_{c}") for c in key]).agg(*[v.alias(c) for c, v in counts.items()])
+        sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts]
+        row = per_key.agg(*sums, F.coalesce(F.sum(F.col("_rows") - 1), F.lit(0)).alias("_duplicates"))
+    else:
+        row = df.agg(*[v.alias(c) for c, v in counts.items()])
     rows = F.col("_rows")
-    results = [
-        F.struct(
-            F.lit(f"row_count_{name}").alias("check_name"),
-            F.when(rows >= min_rows, "pass").otherwise("fail").alias("status"),
-            rows.cast("double").alias("metric_value"),
-            F.lit(float(min_rows)).alias("threshold"),
-            F.concat(F.lit(f"{name}: "), count_text(rows), F.lit(f" rows (min {min_rows:,})")).alias("details"),
-        )
-    ]
-    for c in known:
-        rate = F.coalesce(F.try_divide(F.col(f"_null_{c}").cast("double"), rows.cast("double")), F.lit(0.0))
-        results.append(
-            F.struct(
-                F.lit(f"null_rate_{c}").alias("check_name"),
-                _grade(rate, max_null_rate, max_null_rate * 2).alias("status"),
-                round_exact(rate, 4).alias("metric_value"),
-                F.lit(float(max_null_rate)).alias("threshold"),
-                F.concat(F.lit(f"{c}: "), percent_text(rate), F.lit(f" null (max {max_null_rate:.1%})")).alias("details"),
-            )
-        )
+    enough = F.concat(F.lit(f"{name}: "), count_text(rows), F.lit(f" rows (min {min_rows:,})"))
+    results = [_graded(f"row_count_{name}", F.when(rows >= min_rows, "pass").otherwise("fail"), rows, min_rows, enough)]
+    results += [_null_rate(c, F.col(f"_null_{c}"), rows, rates[c]) for c in known]
+    if max_rows is not None:
+        results.append(_row_limit(name, rows, max_rows))
+    if key:
+        results.append(_unique(key_name or name, key, F.col("_duplicates"), rows))
     out = row.select(F.inline(F.array(*results)))
-    for c in null_columns:
-        absent = _missing_column(df, "null_rate", c, max_null_rate)
+    for c in rates:
+        absent = _missing_column(df, "null_rate", c, rates[c])
         out = out if absent is None else out.unionByName(absent)
     return out
 
@@ -86,23 +116,12 @@ def check_null_rate(df: DataFrame, column: str, max_rate: float = 0.05) -> DataF
 
 
 def check_row_limit(df: DataFrame, name: str, max_rows: int) -> DataFrame:
-    rows = F.col("_rows")
-    return _result(
-        df.agg(F.count("*").alias("_rows")), f"row_limit_{name}", F.when(rows <= max_rows, "pass").otherwise("fail"),
-        rows, max_rows, F.concat(F.lit(f"{name}: "), count_text(rows), F.lit(f" rows (max {max_rows:,})")),
-    )
+    return df.agg(F.count("*").alias("_rows")).select(F.inline(F.array(_row_limit(name, F.col("_rows"), max_rows))))
 
 
 def check_uniqueness(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
     """Rows beyond the first per key; nulls are equal to each other."""
-    row = df.groupBy(*columns).agg(F.count("*").alias("_n")).agg(
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("_dup"), F.count("*").alias("_keys")
-    )
-    dup = F.col("_dup")
-    details = F.when(F.col("_keys") == 0, F.lit(f"{name}: empty DataFrame")).otherwise(
-        F.concat(F.lit(f"{name}: "), count_text(dup), F.lit(f" duplicates on {list(columns)}"))
-    )
-    return _result(row, f"uniqueness_{name}", F.when(dup == 0, "pass").otherwise("fail"), dup, 0, details)
+    return table_checks(df, name, key=columns).where(F.col("check_name") == f"uniqueness_{name}")
 
 
 def check_dedup_ratio(counts: DataFrame, raw: str, kept: str, name: str, max_ratio: float = 0.5) -> DataFrame:

@@ -2,81 +2,34 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faultline.config import DEFAULTS, Settings
-from faultline.fixed_values import TIER_EXACT, TIER_HIGH
+from faultline.fixed_values import LAYER_TABLES, STAGE_TABLES, TIER_EXACT, TIER_HIGH
 from faultline.operators import quality as Q
 from faultline.operators.joins import flag_members
 from faultline.sources.tables import read_csv, read_if_present, write_table
 from pyspark.sql.utils import AnalysisException
 
-# name -> (file, key, columns with few nulls)
-CLEAN_TABLES = {
-    "events": ("clean_event_device_level.parquet", ["event_record_id"], ["product_code", "event_year"]),
-    "recalls": ("clean_recall.parquet", ["recall_number"], ["product_code", "recall_year"]),
-    "clearances": ("clean_510k.parquet", ["k_number"], ["product_code", "decision_year"]),
-    "dim_product_code": ("dim_product_code.parquet", ["product_code"], ["review_panel", "device_class"]),
-}
-MART_TABLES = {
-    "mart_panel_year": ("mart_panel_year.parquet", ["review_panel", "year"]),
-    "mart_product_code_year": ("mart_product_code_year.parquet", ["product_code", "year"]),
-    "mart_firm_product_year": ("mart_firm_product_year.parquet", ["manufacturer", "product_code", "year"]),
-}
-APP_TABLES = {
-    "app_overview": ("app_overview.csv", "overview_rows"),
-    "app_category_product": ("app_category_product.csv", "category_rows"),
-    "app_manufacturer": ("app_manufacturer.csv", "manufacturer_rows"),
-}
-
 Tables = Mapping[str, DataFrame | None]
 
+MART_KEYS = {name: key for layer, name, _, key, _, _ in LAYER_TABLES if layer == "mart"}
 
-def _missing(spark: SparkSession, name: str, file: str) -> DataFrame:
-    return Q.failed(spark, f"file_exists_{name}", f"{file} not found")
-
-
-def check_clean_layer(spark: SparkSession, tables: Tables) -> list[DataFrame]:
-    checks = []
-    for name, (file, key, few_nulls) in CLEAN_TABLES.items():
-        df = tables.get(name)
-        if df is None:
-            checks.append(_missing(spark, name, file))
-            continue
-        checks.append(Q.table_checks(df, name, 1, few_nulls, 0.05))
-        checks.append(Q.check_uniqueness(df, key, name))
-    return checks
 
+def qa_summary(spark: SparkSession, clean: Tables, marts: Tables, apps: Tables, settings: Settings = DEFAULTS) -> DataFrame:
+    """All checks of all layers as one table, each table scanned once; one that is not there is a failed check, not an error."""
+    layers = {"clean": clean, "mart": marts, "app": apps}
 
-def check_mart_layer(spark: SparkSession, tables: Tables) -> list[DataFrame]:
-    checks = []
-    for name, (file, grain) in MART_TABLES.items():
-        df = tables.get(name)
+    def checked(layer: str, name: str, file: str, key: list[str], few_nulls: list[str], cap: str | None) -> DataFrame:
+        df = layers[layer].get(name)
         if df is None:
-            checks.append(_missing(spark, name, file))
-            continue
-        checks += [Q.check_row_count(df, name, 1), Q.check_uniqueness(df, grain, name)]
-    return checks
-
+            return Q.failed(spark, f"file_exists_{name}", f"{file} not found")
+        return Q.table_checks(df, name, 1, few_nulls, key=key, max_rows=cap and getattr(settings, cap))
 
-def check_app_layer(spark: SparkSession, tables: Tables, settings: Settings = DEFAULTS) -> list[DataFrame]:
-    checks = []
-    for name, (file, cap) in APP_TABLES.items():
-        df = tables.get(name)
-        if df is None:
-            checks.append(_missing(spark, name, file))
-            continue
-        checks += [Q.check_row_count(df, name, 1), Q.check_row_limit(df, name, getattr(settings, cap))]
-    return checks
-
-
-def qa_summary(spark: SparkSession, clean: Tables, marts: Tables, apps: Tables, settings: Settings = DEFAULTS) -> DataFrame:
-    """All layer checks as one table; a table that is not there is a failed check, not an error."""
-    checks = check_clean_layer(spark, clean) + check_mart_layer(spark, marts) + check_app_layer(spark, apps, settings)
-    return Q.run_checks(checks)
+    return Q.run_checks([checked(*spec) for spec in LAYER_TABLES])
 
 
 def build_qa_summary(
@@ -84,9 +37,6 @@ def build_qa_summary(
 ) -> DataFrame:
     """``qa_summary`` over the stored layers, written to ``output``."""
 
-    def load(folder: str, names: Mapping[str, tuple], read: Callable) -> dict[str, DataFrame | None]:
-        return {name: read(f"{folder}/{spec[0]}") for name, spec in names.items()}
-
     def csv(path: str) -> DataFrame | None:
         try:
             return read_csv(spark, path)
@@ -95,31 +45,34 @@ def build_qa_summary(
                 return None
             raise
 
-    summary = qa_summary(
-        spark,
-        load(clean_dir, CLEAN_TABLES, lambda p: read_if_present(spark, p)),
-        load(mart_dir, MART_TABLES, lambda p: read_if_present(spark, p)),
-        load(app_dir, APP_TABLES, csv),
-        settings,
-    )
+    def parquet(path: str) -> DataFrame | None:
+        return read_if_present(spark, path)
+
+    readers = {"clean": (clean_dir, parquet), "mart": (mart_dir, parquet), "app": (app_dir, csv)}
+    layers: dict[str, dict[str, DataFrame | None]] = {layer: {} for layer in readers}
+    for layer, name, file, *_ in LAYER_TABLES:
+        folder, read = readers[layer]
+        layers[layer][name] = read(f"{folder}/{file}")
+    summary = qa_summary(spark, *layers.values(), settings)
     write_table(summary, output)
     return spark.read.parquet(output)
 
 
+def _stage_table(df: DataFrame, name: str, key: Sequence[str] = (), key_name: str | None = None) -> DataFrame:
+    least, nulls = STAGE_TABLES[name]
+    return Q.table_checks(df, name, least, nulls, key=key, key_name=key_name)
+
+
 def event_stage_checks(events: DataFrame, dim: DataFrame, alias: DataFrame) -> DataFrame:
     """Checks after cleaning the events, on their latest versions."""
     latest = events.where("is_latest_version")
     return Q.run_checks(
         [
-            Q.table_checks(dim, "dim_product_code", 100, ["device_name", "device_class"]),
-            Q.check_uniqueness(dim, ["product_code"], "dim_product_code_pk"),
-            Q.check_row_count(latest, "clean_events_latest", 1000),
+            _stage_table(dim, "dim_product_code", ["product_code"], "dim_product_code_pk"),
+            _stage_table(latest, "clean_events_latest"),
             Q.check_uniqueness(events, ["event_record_id"], "event_record_id_pk"),
-            Q.check_null_rate(latest, "product_code", 0.30),
-            Q.check_null_rate(latest, "date_received", 0.01),
-            Q.check_null_rate(latest, "manufacturer_d_name", 0.10),
             Q.check_volume_shift(latest, "event_year"),
-            Q.check_row_count(alias, "manufacturer_alias", 10),
+            _stage_table(alias, "manufacturer_alias"),
             Q.check_coverage(latest, "product_code", dim),
         ]
     )
@@ -129,16 +82,9 @@ def recall_stage_checks(recalls: DataFrame, clearances: DataFrame, dim: DataFram
     """Checks after mapping the recalls and cleaning the clearances."""
     return Q.run_checks(
         [
-            Q.check_row_count(recalls, "clean_recall", 100),
-            Q.check_uniqueness(recalls, ["recall_number"], "recall_number_pk"),
-            Q.check_null_rate(recalls, "recall_initiation_date"),
-            Q.check_null_rate(recalls, "product_code", 0.30),
-            Q.check_null_rate(recalls, "recall_class", 0.05),
+            _stage_table(recalls, "clean_recall", ["recall_number"], "recall_number_pk"),
             Q.check_volume_shift(recalls, "recall_year"),
-            Q.check_row_count(clearances, "clean_510k", 100),
-            Q.check_uniqueness(clearances, ["k_number"], "k_number_pk"),
-            Q.check_null_rate(clearances, "decision_date"),
-            Q.check_null_rate(clearances, "product_code", 0.05),
+            _stage_table(clearances, "clean_510k", ["k_number"], "k_number_pk"),
             Q.check_volume_shift(clearances, "decision_year"),
             Q.check_coverage(clearances, "product_code", dim),
         ]

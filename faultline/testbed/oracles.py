@@ -458,6 +458,20 @@ _SUMMARY = _all(
      _check("file_exists_app_manufacturer", "'fail'", "NULL", "NULL", "'app_manufacturer.csv not found'", "(SELECT 1)")]
 )
 
+_LATEST = "(SELECT * FROM fx_events WHERE is_latest_version)"
+_EVENT_STAGE = _all(
+    [_rows("fx_dim", "dim_product_code", 100), _nulls("fx_dim", "device_name"), _nulls("fx_dim", "device_class"), _unique("fx_dim", ["product_code"], "dim_product_code_pk"),
+     _rows(_LATEST, "clean_events_latest", 1000), _nulls(_LATEST, "product_code", 0.3), _nulls(_LATEST, "date_received", 0.01), _nulls(_LATEST, "manufacturer_d_name", 0.1),
+     _unique("fx_events", ["event_record_id"], "event_record_id_pk"), _shift(_LATEST, "event_year", "count(*)", 0.5), _rows("supplier", "manufacturer_alias", 10),
+     _coverage(_LATEST, "product_code", "fx_dim")]
+)
+_RECALL_STAGE = _all(
+    [_rows("fx_recalls", "clean_recall", 100), _unique("fx_recalls", ["recall_number"], "recall_number_pk"), _nulls("fx_recalls", "recall_initiation_date"),
+     _nulls("fx_recalls", "product_code", 0.3), _nulls("fx_recalls", "recall_class"), _shift("fx_recalls", "recall_year", "count(*)", 0.5),
+     _rows("fx_clearances", "clean_510k", 100), _unique("fx_clearances", ["k_number"], "k_number_pk"), _nulls("fx_clearances", "decision_date"),
+     _nulls("fx_clearances", "product_code"), _shift("fx_clearances", "decision_year", "count(*)", 0.5), _coverage("fx_clearances", "product_code", "fx_dim")]
+)
+
 _EVENT_COLUMNS = "mdr_report_key, date_received, l_linenumber, l_partkey, l_suppkey, followup_rank, is_latest_version"
 
 
@@ -666,6 +680,8 @@ _BODIES = {
     "year_changes": """SELECT year, n, lag(year) OVER (ORDER BY year) AS prev_year, lag(n) OVER (ORDER BY year) AS prev_n,
         CAST(abs(n - lag(n) OVER (ORDER BY year)) AS DOUBLE) / lag(n) OVER (ORDER BY year) AS change FROM (SELECT decision_year AS year, count(*) AS n FROM fx_clearances GROUP BY 1)""",
     "qa_summary": _SUMMARY,
+    "event_stage_checks": _EVENT_STAGE,
+    "recall_stage_checks": _RECALL_STAGE,
     "quality_gate": f"SELECT count(*) FILTER (WHERE status = 'fail') = 0 AS gate_passed, count(*) AS checks, count(*) FILTER (WHERE status = 'fail') AS failed, count(*) FILTER (WHERE status = 'warn') AS warned FROM ({_SUMMARY})",
     "qa_grain": _all([_unique("m_panel", ["review_panel", "year"], "mart_panel_year"), _unique("m_product", ["product_code", "year"], "mart_product_code_year"),
                       _unique("m_firm", ["manufacturer", "product_code", "year"], "mart_firm_product_year")]),

@@ -569,8 +569,19 @@ def quality_gate(t: Tables) -> DataFrame:
 def qa_grain(t: Tables) -> DataFrame:
     """The grain assertion as data: duplicate keys per mart."""
     built = marts.build_all_marts(t.events(), t.recalls(), t.clearances(), t.dim(), SETTINGS)
-    keys = {name: spec[1] for name, spec in quality_suites.MART_TABLES.items()}
-    return quality.run_checks([quality.check_uniqueness(df, keys[name], name) for name, df in built.items()])
+    return quality.run_checks([quality.check_uniqueness(df, quality_suites.MART_KEYS[name], name) for name, df in built.items()])
+
+
+@query
+def event_stage_checks(t: Tables) -> DataFrame:
+    """The checks after the event stage, with their literals; every supplier stands for an alias."""
+    alias = t.read("supplier").selectExpr("s_name AS raw_name", "s_name AS standardized_name")
+    return quality_suites.event_stage_checks(t.events(), t.dim(), alias)
+
+
+@query
+def recall_stage_checks(t: Tables) -> DataFrame:
+    return quality_suites.recall_stage_checks(t.recalls(), t.clearances(), t.dim())
 
 
 @query

@@ -210,3 +210,17 @@ def test_dashboard(layer):
     assert dashboard.firm_profile(m["mart_firm_product_year"], "Cedar").count() == 3
     assert {r["year"]: r["is_partial_year"] for r in dashboard.flag_partial_year(m["mart_panel_year"], 2023).collect()} == {2022: False, 2023: True}
     assert dashboard.panel_spot_check(m["mart_panel_year"], ["CV", "??"]).count() == 2
+
+
+def test_checks_of_a_table_scan_it_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "a", None), (1, "a", 2.0), (2, None, float("nan"))], "k int, s string, x double").write.parquet(path)
+    checks = Q.table_checks(spark.read.parquet(path), "t", 2, {"s": 0.4, "x": 0.1, "y": 0.2}, key=["k", "s"], key_name="t_pk", max_rows=2)
+    assert checks._jdf.queryExecution().executedPlan().toString().count("Scan parquet") == 1
+    found = {r.check_name: (r.status, r.metric_value, r.threshold) for r in checks.collect()}
+    assert found == {
+        "row_count_t": ("pass", 3.0, 2.0), "row_limit_t": ("fail", 3.0, 2.0), "null_rate_s": ("pass", 0.3333, 0.4), "null_rate_x": ("fail", 0.6667, 0.1),
+        "null_rate_y": ("fail", None, 0.2), "uniqueness_t_pk": ("fail", 1.0, 0.0),
+    }
+    empty = {r.check_name: (r.status, r.details) for r in Q.table_checks(spark.read.parquet(path).limit(0), "t", key=["k"], null_columns=["k"]).collect()}
+    assert empty["uniqueness_t"] == ("pass", "t: empty DataFrame") and empty["null_rate_k"][0] == "pass" and empty["row_count_t"][0] == "fail"
