@@ -13,6 +13,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from faultline.session import stored
+
 # Keys are hashed into this many buckets to find the hot ones: a narrow scan and a shuffle of at most this
 # many counters per map task.
 _BUCKETS = 1 << 14
@@ -98,6 +100,28 @@ def ordered_within(
     return joined.withColumns(out).select(*df.columns, *[c for c in out if c not in df.columns])
 
 
+def running_by_range(df: DataFrame, group: str, order: Sequence[Column], position: str, running: Mapping[str, str]) -> DataFrame:
+    """Add the 1-based place and running totals (output name -> column) of every row in its group, for groups of any size.
+
+    ``order`` has to be total within a group. One range partitioning by group and order cuts groups into runs that
+    fit a task each; runs are numbered and summed by themselves, and what earlier runs of the group hold is added.
+    """
+    ranged = df.repartitionByRange(F.col(group), *order).withColumn("_range", F.spark_partition_id())
+    # stored: the numbers of the ranges are used twice and must be the same both times
+    ranged = stored(ranged)
+    in_range = Window.partitionBy(group, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = ranged.withColumn(position, F.row_number().over(Window.partitionBy(group, "_range").orderBy(*order)))
+    numbered = numbered.withColumns({name: F.sum(source).over(in_range) for name, source in running.items()})
+    sums = [F.count("*").alias("_n"), *[F.sum(source).alias(f"_sum_{name}") for name, source in running.items()]]
+    earlier = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = [F.sum("_n").over(earlier).alias("_n_before"), *[F.sum(f"_sum_{name}").over(earlier).alias(f"_before_{name}") for name in running]]
+    offsets = ranged.groupBy(group, "_range").agg(*sums).select(F.col(group).alias("_group"), F.col("_range").alias("_at"), *before)
+    joined = numbered.join(offsets, F.col(group).eqNullSafe(F.col("_group")) & (F.col("_range") == F.col("_at")))
+    out = {position: (F.col(position) + F.coalesce("_n_before", F.lit(0))).cast("int")}
+    out |= {name: F.col(name) + F.coalesce(f"_before_{name}", F.lit(0)) for name in running}
+    return joined.withColumns(out).select(*df.columns, *out)
+
+
 def date_descending(day: Column) -> list[Column]:
     """Slot expressions for "latest first, nulls last"."""
     return [day.isNull(), F.coalesce(-F.unix_date(day.cast("date")), F.lit(0))]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from faultline.functions.kpis import firm_share
 from faultline.operators.joins import enrich
-from faultline.operators.ordered import HOT_ROWS, ordered_within
+from faultline.operators.ordered import running_by_range
 from faultline.session import stored
 
 CARDS = ["event_count_dedup", "recall_count", "class_i_recall_count", "death_related_reports", "serious_injury_reports"]
@@ -42,16 +42,13 @@ def product_scatter(product_year: DataFrame) -> DataFrame:
     return latest_year(product_year).select("product_code", "year", "clearance_count", "event_count_dedup")
 
 
-def pareto_products(product_year: DataFrame, dim: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def pareto_products(product_year: DataFrame, dim: DataFrame) -> DataFrame:
     """Products of each panel by descending volume with their cumulative share."""
     totals = product_year.groupBy("product_code").agg(F.sum("event_count_dedup").alias("events"))
-    paneled = stored(enrich(totals, dim, "product_code", ["review_panel"]).where("review_panel IS NOT NULL"))
-    panel = paneled.groupBy("review_panel").agg(F.sum("events").alias("panel_events"))
-    running = ordered_within(
-        paneled, ["review_panel"], [F.desc("events"), F.asc("product_code")],
-        [-F.col("events"), F.substring("product_code", 1, 2)],
-        position="position", running={"running_events": "events"}, hot_rows=hot_rows,
-    )
+    paneled = enrich(totals, dim, "product_code", ["review_panel"]).where("review_panel IS NOT NULL")
+    order = [F.desc("events"), F.asc("product_code")]
+    running = stored(running_by_range(paneled, "review_panel", order, "position", {"running_events": "events"}))
+    panel = running.groupBy("review_panel").agg(F.max("running_events").alias("panel_events"))
     return running.join(panel, "review_panel").select(
         "review_panel", "product_code", "events", "position", "running_events",
         firm_share(F.col("running_events"), F.col("panel_events")).alias("cumulative_share"),

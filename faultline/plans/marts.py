@@ -37,16 +37,20 @@ def product_rows(events: DataFrame, recalls: DataFrame, clearances: DataFrame, s
     ]
 
 
+def firm_event_rows(events: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """Events by (manufacturer, product_code, year), to be summed; the manufacturer may be null."""
+    key = [F.col("manufacturer_d_name").alias("manufacturer"), "product_code"]
+    return event_rows(in_years(events, "event_year", settings.year_min, settings.year_max), key)
+
+
+def firm_recall_rows(recalls: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """Recalls by (manufacturer, product_code, year), to be summed; the manufacturer may be null."""
+    key = [F.col("recalling_firm").alias("manufacturer"), recall_code().alias("product_code")]
+    return recall_rows(in_years(recalls, "recall_year", settings.year_min, settings.year_max), key)
+
+
 def firm_rows(events: DataFrame, recalls: DataFrame, settings: Settings = DEFAULTS) -> list[DataFrame]:
-    """The facts by (manufacturer, product_code, year), to be summed; the manufacturer may be null."""
-    years = settings.year_min, settings.year_max
-    return [
-        event_rows(in_years(events, "event_year", *years), [F.col("manufacturer_d_name").alias("manufacturer"), "product_code"]),
-        recall_rows(
-            in_years(recalls, "recall_year", *years),
-            [F.col("recalling_firm").alias("manufacturer"), recall_code().alias("product_code")],
-        ),
-    ]
+    return [firm_event_rows(events, settings), firm_recall_rows(recalls, settings)]
 
 
 def firm_counts(events: DataFrame, recalls: DataFrame, settings: Settings = DEFAULTS) -> list[DataFrame]:
@@ -138,10 +142,10 @@ def build_all_marts(
     by_firm = [stored(c) for c in firm_counts(events, recalls, settings)]
     years = settings.year_min, settings.year_max
     clearances = clearance_rows(in_years(clearances, "decision_year", *years), _CODE)
-    return _marts_from(by_firm, clearances, dim, settings)
+    return marts_from(by_firm, clearances, dim, settings)
 
 
-def _marts_from(by_firm: Sequence[DataFrame], clearances: DataFrame, dim: DataFrame, settings: Settings) -> dict[str, DataFrame]:
+def marts_from(by_firm: Sequence[DataFrame], clearances: DataFrame, dim: DataFrame, settings: Settings) -> dict[str, DataFrame]:
     by_product = [*[roll_up(c, _CODE) for c in by_firm], clearances]
     return {
         "mart_panel_year": panel_year_from(by_product, dim, settings),
@@ -161,7 +165,7 @@ def write_all_marts(
     for name, df in parts.items():
         write_table(df, f"{folder}/counts_{name}")
     kept = {name: spark.read.parquet(f"{folder}/counts_{name}") for name in parts}
-    marts = _marts_from([kept["events"], kept["recalls"]], kept["clearances"], dim, settings)
+    marts = marts_from([kept["events"], kept["recalls"]], kept["clearances"], dim, settings)
     for name, df in marts.items():
         write_table(df, f"{folder}/{name}.parquet")
     return {name: spark.read.parquet(f"{folder}/{name}.parquet") for name in marts}

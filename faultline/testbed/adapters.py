@@ -203,6 +203,20 @@ class Tables:
         files = files.select(path.alias("path"), F.encode(text, "UTF-8").alias("content"))
         return files.mapInPandas(_archives, files.schema) if zipped else files
 
+    def supplier_files(self) -> DataFrame:
+        """(path, content): one JSON document per supplier, a list that holds its record or an object of columns."""
+        record = F.expr("concat('{\"k\": ', CAST(s_suppkey AS STRING), ', \"name\": \"', s_name, '\", \"region\": {\"nation\": ', CAST(s_nationkey AS STRING), '}}')")
+        columns = F.expr("concat('{\"k\": [', CAST(s_suppkey AS STRING), '], \"name\": [\"', s_name, '\"], \"region\": [{\"nation\": ', CAST(s_nationkey AS STRING), '}]}')")
+        text = F.when(F.col("s_suppkey") % 2 == 0, columns).otherwise(F.concat(F.lit("[ "), record, F.lit(" ]")))
+        path = F.concat(F.lit("/in/"), F.lpad(F.col("s_suppkey").cast("string"), 8, "0"), F.lit(".json"))
+        return self.read("supplier").select(path.alias("path"), F.encode(text, "UTF-8").alias("content"))
+
+    def lookup_files(self) -> DataFrame:
+        """(path, content): the records of ``lookup_records`` as one document per file."""
+        files = self.lookup_records().groupBy(F.col("file").alias("path")).agg(F.array_sort(F.collect_list(F.struct("pos", "record"))).alias("rows"))
+        text = F.concat(F.lit('{"results": ['), F.array_join("rows.record", ", "), F.lit("]}"))
+        return files.select("path", F.encode(text, "UTF-8").alias("content"))
+
     def partition_index(self) -> DataFrame:
         """One download partition per order: year in the name, in the path, out of range or nowhere."""
         return self.read("orders").selectExpr(

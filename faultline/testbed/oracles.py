@@ -657,6 +657,11 @@ _BODIES = {
             ('device', t.device), ('remedial_action', t.remedial_action), ('product_code', 0.0::DOUBLE)) u(field, rate)""",
     "document_scan": _order_records("json"),
     "zip_scan": _order_records("zip"),
+    "single_document_scan": """SELECT concat('/in/', lpad(CAST(s_suppkey AS VARCHAR), 8, '0'), '.json') AS file, CAST(0 AS INTEGER) AS member, CAST(0 AS BIGINT) AS pos,
+        s_suppkey AS k, s_name AS name, CAST(s_nationkey AS BIGINT) AS nation FROM supplier""",
+    "lookup_scan": "SELECT * FROM code_lookup",
+    "mart_order": """SELECT 'mart_panel_year' AS mart, review_panel AS first_key, year, CAST(row_number() OVER (ORDER BY review_panel NULLS LAST, year) AS INTEGER) AS place FROM m_panel
+        UNION ALL SELECT 'mart_product_code_year', product_code, year, CAST(row_number() OVER (ORDER BY product_code NULLS LAST, year) AS INTEGER) FROM m_product""",
     "junk_code_filter": """SELECT p_partkey, CASE WHEN p_size % 5 > 2 THEN concat('-', p_brand) END AS product_code FROM part WHERE p_size % 5 > 1""",
     "blank_labels": "SELECT p_partkey, CASE WHEN p_size % 4 = 2 THEN p_brand ELSE 'Unknown' END AS label FROM part",
     "export_overview": "SELECT * REPLACE (CASE WHEN trim(coalesce(review_panel, '')) = '' THEN 'Unknown' ELSE review_panel END AS review_panel) FROM m_panel",
@@ -734,6 +739,11 @@ _BODIES = {
     "best_text_match": """SELECT p.plain AS cleaned, b.device_name AS match_name, b.code AS match_code, round(b.score, 6) AS match_score
         FROM (SELECT DISTINCT plain FROM descriptions) p LEFT JOIN fuzzy_best b USING (plain)""",
 }
+_BODIES["export_all"] = " UNION ALL BY NAME ".join(
+    f"SELECT '{app}' AS app, * FROM ({_BODIES[name]})"
+    for app, name in (("app_overview", "export_overview"), ("app_category_product", "export_category_topn"),
+                      ("app_manufacturer", "export_manufacturer_topn"), ("app_methodology", "methodology_metrics"))
+)
 _BODIES["kpis_in_sql"] = _BODIES["kpi_guards"]
 _COMMON["m_panel_guarded_60"] = f"SELECT *, {_panel_kpis(60, 3)} FROM panel_counts"
 

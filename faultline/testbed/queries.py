@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from faultline.functions import dates, kpis, text
@@ -440,9 +440,51 @@ def zip_scan(t: Tables) -> DataFrame:
     return records.read_records(t.order_files(zipped=True), zipped=True)
 
 
+@query
+def single_document_scan(t: Tables) -> DataFrame:
+    """Documents that may be an object of columns instead of a list of records; the records' values are read."""
+    found = records.read_records(t.supplier_files(), zipped=False, bare_object=True)
+    fields = F.from_json("record", "k bigint, name string, region struct<nation: bigint>")
+    return found.select("file", "member", "pos", fields.alias("r")).selectExpr("file", "member", "pos", "r.k", "r.name", "r.region.nation")
+
+
+@query
+def lookup_scan(t: Tables) -> DataFrame:
+    """The recall-code lookup out of its documents' bytes."""
+    return clean.recall_code_lookup(records.read_records(t.lookup_files(), zipped=False))
+
+
+@query
+def mart_order(t: Tables) -> DataFrame:
+    """Rows of the panel and product marts by their place: keys ascend, nulls last."""
+    panel = marts.mart_panel_year(t.events(), t.recalls(), t.clearances(), t.dim(), SETTINGS).select("review_panel", "year")
+    product = marts.mart_product_year(t.events(), t.recalls(), t.clearances(), SETTINGS).select("product_code", "year")
+
+    def placed(mart: DataFrame, name: str) -> DataFrame:
+        # ids ascend in the order the sorted mart is read; the window holds one row per key of a mart
+        read = mart.withColumn("_at", F.monotonically_increasing_id())
+        place = F.row_number().over(Window.orderBy("_at"))
+        return read.select(F.lit(name).alias("mart"), F.col(mart.columns[0]).alias("first_key"), "year", place.alias("place"))
+
+    return placed(panel, "mart_panel_year").unionByName(placed(product, "mart_product_code_year"))
+
+
 # Exports and profile
 
 
+@query
+def export_all(t: Tables) -> DataFrame:
+    """The four app tables of one export run, columns that a table does not have as null."""
+    facts = t.events(), t.recalls(), t.clearances()
+    built = marts.build_all_marts(*facts, t.dim(), SETTINGS)
+    apps = exports.export_all(built, dict(zip(("events", "recalls", "clearances", "dim"), (*facts, t.dim()), strict=True)), SMALL_CAPS)
+    named = [df.withColumn("app", F.lit(name)) for name, df in apps.items()]
+    out = named[0]
+    for df in named[1:]:
+        out = out.unionByName(df, allowMissingColumns=True)
+    return out
+
+
 @query
 def export_overview(t: Tables) -> DataFrame:
     return exports.app_overview(marts.mart_panel_year(t.events(), t.recalls(), t.clearances(), t.dim(), SETTINGS))

@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from faultline.config import Settings
 from faultline.operators import quality as Q
-from faultline.plans import dashboard, exports, marts, quality_suites
+from faultline.operators.dedup import rank_versions
+from faultline.operators.ordered import running_by_range
+from faultline.plans import dashboard, exports, marts, quality_suites, refresh
 
 SETTINGS = Settings(year_min=2019, year_max=2025)
 
@@ -224,3 +226,36 @@ def test_checks_of_a_table_scan_it_once(spark, tmp_path):
     }
     empty = {r.check_name: (r.status, r.details) for r in Q.table_checks(spark.read.parquet(path).limit(0), "t", key=["k"], null_columns=["k"]).collect()}
     assert empty["uniqueness_t"] == ("pass", "t: empty DataFrame") and empty["null_rate_k"][0] == "pass" and empty["row_count_t"][0] == "fail"
+
+
+def test_marts_of_two_batches_equal_those_of_one_go(spark, layer, tmp_path):
+    """Also where a report of the first batch gets a newer version in the second, and where a batch is repeated."""
+    ties = ["event_record_id"]
+    events = layer["events"].drop("is_latest_version").withColumn("mdr_report_key", F.substring("event_record_id", 1, 2))
+    more = events.withColumns({"event_record_id": F.concat("event_record_id", F.lit("x")), "date_received": F.date_add("date_received", 40)}).where("event_record_id < 'E6'")
+    whole = rank_versions(events.unionByName(more), tie_break=ties)
+    expected = marts.build_all_marts(whole, layer["recalls"], layer["clearances"], layer["dim"], SETTINGS)
+    folder = str(tmp_path / "marts")
+    before = rank_versions(events, tie_break=ties)
+    late = layer["recalls"].where("recall_number < 'R3'"), layer["recalls"].where("recall_number >= 'R3'")
+    refresh.write_batch("1", folder, {"events": before, "recalls": late[0], "clearances": layer["clearances"]}, settings=SETTINGS)
+    added, withdrawn = refresh.reranked(before, more, ties)
+    assert 0 < withdrawn.count() < before.count()
+    for _ in range(2):
+        refresh.write_batch("2", folder, {"events": added, "recalls": late[1]}, {"events": withdrawn}, SETTINGS)
+    found = refresh.marts_from_state(spark, folder, layer["dim"], SETTINGS)
+    for name, mart in expected.items():
+        assert [tuple(r) for r in found[name].collect()] == [tuple(r) for r in mart.collect()], name
+
+
+def test_running_totals_of_one_large_group_are_spread(spark):
+    """All products on one count and one prefix: no run of the group holds more than a share of it."""
+    rows = spark.range(4000).selectExpr("'p' AS g", "concat('AA', lpad(CAST(id AS STRING), 5, '0')) AS code", "7 AS n").unionByName(
+        spark.createDataFrame([(None, "x", 1), (None, "y", 2)], "g string, code string, n int")
+    )
+    found = running_by_range(rows, "g", [F.desc("n"), F.asc("code")], "place", {"total": "n"})
+    got = found.collect()
+    assert sorted((r.place, r.code, r.total) for r in got if r.g) == [(k + 1, f"AA{k:05}", 7 * (k + 1)) for k in range(4000)]
+    assert sorted((r.place, r.code, r.total) for r in got if not r.g) == [(1, "y", 2), (2, "x", 3)]
+    ranges = rows.repartitionByRange(8, F.col("g"), F.desc("n"), F.asc("code")).groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in ranges) < 2000

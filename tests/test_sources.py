@@ -1,5 +1,6 @@
 import io
 import json
+import os
 import zipfile
 
 import pytest
@@ -85,6 +86,27 @@ def test_landing_is_incremental_and_once_per_name(spark, tmp_path):
     assert found.columns == RAW_RECORD.names
 
 
+def test_landing_opens_each_archive_once(spark, tmp_path):
+    """Bytes read from files, by Hadoop's own counter: one pass over new archives, and none over those landed before."""
+    inbox, bronze, mark = (str(tmp_path / n) for n in ("inbox", "bronze", "mark"))
+    filler = os.urandom(3_000_000).hex()
+    for k in range(3):
+        write_zip(tmp_path / f"inbox/202{k}q1/e{k}.zip", d__json={"meta": filler, "results": [{"k": k}]})
+    size = sum(f.stat().st_size for f in (tmp_path / "inbox").rglob("*.zip"))
+    statistics = spark._jvm.org.apache.hadoop.fs.FileSystem
+
+    def bytes_read():
+        return sum(s.getBytesRead() for s in statistics.getAllStatistics() if s.getScheme() == "file")
+
+    before = bytes_read()
+    land_archives(spark, inbox, bronze, mark, batch_files=2)
+    first = bytes_read() - before
+    assert size <= first < 1.5 * size
+    land_archives(spark, inbox, bronze, mark, batch_files=2)
+    assert bytes_read() - before - first < 0.1 * size
+    assert sorted(json.loads(r["record"])["k"] for r in read_bronze(spark, bronze).collect()) == [0, 1, 2]
+
+
 def test_bronze_is_empty_before_the_first_landing(spark, tmp_path):
     assert read_bronze(spark, str(tmp_path / "none")).count() == 0
 
