@@ -177,3 +177,56 @@ def manifest(docs: DataFrame, depth: int = DEPTH, tamper: int = TAMPER) -> DataF
 
 def op13_merkle(spark, sf_dir: str) -> DataFrame:
     return manifest(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = f"""
+WITH RECURSIVE marked AS (
+    SELECT doc_id, source,
+           concat(coalesce(concat(strlen(CAST(doc_id AS VARCHAR)), ':', doc_id), '-'), coalesce(concat(strlen(source), ':', source), '-'),
+                  coalesce(concat(strlen(lang), ':', lang), '-'), coalesce(concat(strlen(CAST(n_chars AS VARCHAR)), ':', n_chars), '-')) AS head,
+           coalesce(concat(strlen(text), ':', text), '-') AS body,
+           coalesce(concat(strlen(text), ':', translate(text, '{UPPER}', '{LOWER}')), '-') AS small,
+           xor(4294967295, list_reduce(
+               list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+               lambda crc, byte: list_reduce(range(8), lambda s, k: CASE WHEN s % 2 = 1 THEN xor(s // 2, 3988292384) ELSE s // 2 END, xor(crc, byte)),
+               CAST(4294967295 AS BIGINT))) AS crc
+    FROM documents
+), leaves AS (
+    SELECT doc_id, source, sha256(concat(head, body)) AS leaf, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST) - 1 AS pos,
+           CASE WHEN coalesce(crc % 5 = 0, false) THEN sha256(concat(head, small)) ELSE sha256(concat(head, body)) END AS seen
+    FROM marked
+), up AS (
+    SELECT source, CAST(0 AS BIGINT) AS level, CAST(pos AS BIGINT) AS pos, leaf AS digest, count(*) OVER (PARTITION BY source) AS n FROM leaves
+    UNION ALL
+    SELECT source, level + 1, pos // 16, sha256(string_agg(digest, '' ORDER BY pos)), (n + 15) // 16 FROM up WHERE n > 1 GROUP BY source, level, pos // 16, n
+), subroots AS (
+    SELECT source, digest AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place FROM up WHERE n = 1
+), above AS (
+    SELECT CAST(0 AS BIGINT) AS level, CAST(place AS BIGINT) AS pos, subroot AS digest, count(*) OVER () AS n FROM subroots
+    UNION ALL
+    SELECT level + 1, pos // 16, sha256(string_agg(digest, '' ORDER BY pos)), (n + 15) // 16 FROM above WHERE n > 1 GROUP BY level, pos // 16, n
+), beside AS (
+    SELECT source, level, pos, coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+           coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+    FROM up WHERE n > 1 WINDOW w AS (PARTITION BY source, level, pos // 16 ORDER BY pos)
+), beside_above AS (
+    SELECT level, pos, coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+           coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+    FROM above WHERE n > 1 WINDOW w AS (PARTITION BY level, pos // 16 ORDER BY pos)
+), folded AS (
+    SELECT doc_id, source, leaf, CAST(0 AS BIGINT) AS level, CAST(pos AS BIGINT) AS pos, seen AS digest, '' AS proof FROM leaves
+    UNION ALL
+    SELECT f.doc_id, f.source, f.leaf, f.level + 1, f.pos // 16, sha256(concat(b.before, f.digest, b.after)), concat(f.proof, b.before, b.after)
+    FROM folded f JOIN beside b ON f.source IS NOT DISTINCT FROM b.source AND f.level = b.level AND f.pos = b.pos
+), to_subroot AS (
+    SELECT f.*, s.subroot, s.place FROM folded f JOIN subroots s ON f.source IS NOT DISTINCT FROM s.source
+    JOIN (SELECT source, max(level) AS top FROM up GROUP BY source) t ON f.source IS NOT DISTINCT FROM t.source AND f.level = t.top
+), to_root AS (
+    SELECT doc_id, source, leaf, subroot, CAST(0 AS BIGINT) AS level, CAST(place AS BIGINT) AS pos, digest, proof FROM to_subroot
+    UNION ALL
+    SELECT f.doc_id, f.source, f.leaf, f.subroot, f.level + 1, f.pos // 16, sha256(concat(b.before, f.digest, b.after)), concat(f.proof, b.before, b.after)
+    FROM to_root f JOIN beside_above b ON f.level = b.level AND f.pos = b.pos
+)
+SELECT f.doc_id, f.leaf, f.subroot, r.digest AS root, sha256(f.proof) AS proof_sha256, f.digest AS folded_root, f.digest = r.digest AS verified
+FROM to_root f, (SELECT digest, level FROM above WHERE n = 1) r WHERE f.level = r.level
+"""

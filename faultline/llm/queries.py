@@ -6,7 +6,7 @@ from faultline.llm.chat_template import OP9_SQL, op9_chat_format
 from faultline.llm.embedding_dedup import op2_embedding_dedup
 from faultline.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from faultline.llm.license_scan import op4_license_scan
-from faultline.llm.merkle import op13_merkle
+from faultline.llm.merkle import OP13_SQL, op13_merkle
 from faultline.llm.mixing import op3_mixing
 from faultline.llm.packing import op10_packing
 from faultline.llm.repeats import OP1_SQL, op1_repeats
@@ -36,4 +36,5 @@ ORACLES = {
     "op1_repeats": OP1_SQL,
     "op5_exact_dedup": OP5_SQL,
     "op9_chat_format": OP9_SQL,
+    "op13_merkle": OP13_SQL,
 }
