@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faultline.llm.common import connected_components, saved, table
+from faultline.llm.simhash import forest
 
 COSINE = 0.9
 # Share of the pairs at just COSINE that some pass is to bring together; passes and window follow from it and the row count.
@@ -211,7 +212,7 @@ def embedding_components(vectors: DataFrame, cosine: float = COSINE, recall: flo
     links = saved(near_links(classes.where("rep IS NOT NULL"), cosine, recall))
     both = links.select("a", F.col("nb").alias("n")).unionByName(links.select(F.col("b").alias("a"), F.col("na").alias("n")))
     counted = both.groupBy("a").agg(F.sum("n").alias("more")).withColumnRenamed("a", "_a")
-    groups = connected_components(links.select("a", "b"))
+    groups = connected_components(spanning(links))
     named = classes.join(counted, F.col("rep") == F.col("_a"), "left").join(groups, F.col("rep") == F.col("node"), "left")
     named = named.select(
         F.col("part").alias("_part"), (F.col("n") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component_id")
@@ -221,6 +222,30 @@ def embedding_components(vectors: DataFrame, cosine: float = COSINE, recall: flo
     return met.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))
 
 
+def spanning(links: DataFrame, most: int = 500_000) -> DataFrame:
+    """Edges (a, b) that connect what ``links`` connect: each task gives back a forest of its links, so a dense group sheds most."""
+
+    def reduced(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        nodes, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+        root = forest(len(nodes), iter([(place[: len(a)], place[len(a) :])]))
+        linked = np.flatnonzero(root != np.arange(len(nodes)))
+        return nodes[linked], nodes[root[linked]]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for batch in batches:
+            held = tuple(np.concatenate([h, c.to_numpy()]) for h, c in zip(held, batch.columns, strict=True))
+            if len(held[0]) > most:
+                held = reduced(*held)
+                if len(held[0]) > most // 2:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], names=["a", "b"])
+                    held = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if len(held[0]):
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in reduced(*held)], names=["a", "b"])
+
+    return links.select("a", "b").mapInArrow(work, "a long, b long")
+
+
 def _plain(vectors: DataFrame) -> Column:
     """Vectors of floats travel as such; others in double precision."""
     kind = vectors.schema["embedding"].dataType.simpleString()
