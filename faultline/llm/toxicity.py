@@ -171,7 +171,7 @@ def with_scores(docs: DataFrame, machine: Machine, keep: list[str], score: str =
             scores = score_texts(machine, batch.column(batch.num_columns - 1).to_pylist(), memo)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())], names=[*keep, score])
 
-    columns = docs.select(*[docs[c] for c in keep], docs["text"].cast("string").alias("_text"))
+    columns = docs.select(*[docs[c] for c in keep], docs["text"].cast("string").alias(fresh(docs, "_text")[0]))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
     return columns.mapInArrow(work, f"{fields}, `{score}` double")
 
