@@ -65,7 +65,7 @@ def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataF
     """One row per key: the first in ``order``. Null keys form one group.
 
     A minimum instead of a window: map tasks reduce every key to one row before the shuffle, so a key with
-    many copies costs nothing extra.
+    many copies needs no task of its own. The kept row has no fixed width, so Spark sorts by key for this, with spill.
     """
     key = list(key)
     rest = [c for c in df.columns if c not in key]

@@ -136,6 +136,18 @@ def dated(rows: DataFrame, date: str, year: str) -> DataFrame:
     return once.select(*fields, F.year("_row._day").alias(year))
 
 
+def date_readability(records: DataFrame, field: str, settings: Settings = DEFAULTS) -> DataFrame:
+    """One row on what the year window does to raw records: how many there are, lack the date, have one that cannot be read,
+    lie outside the window, and are left. Cleaning drops all but the last silently."""
+    rows = dated(parsed(records, f"{field} string").withColumn("_text", F.col(field)), field, "_year")
+    filled, read = F.coalesce(F.length("_text") > 0, F.lit(False)), F.col("_year").isNotNull()
+    inside = F.coalesce(F.col("_year").between(settings.window_first_year, settings.window_last_year), F.lit(False))
+    return rows.agg(
+        F.count("*").alias("records"), F.count_if(~filled).alias("missing"), F.count_if(filled & ~read).alias("unreadable"),
+        F.count_if(read & ~inside).alias("outside"), F.count_if(inside).alias("kept"),
+    )
+
+
 _RECALL = (
     "recall_number string, recall_initiation_date string, classification string, openfda variant, "
     "product_description string, recalling_firm string, reason_for_recall string, status string, "

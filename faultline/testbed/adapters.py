@@ -30,9 +30,9 @@ class Tables:
     # Clean tables
 
     def dim(self) -> DataFrame:
-        """Products with unmapped codes (every tenth) and null and blank panels."""
-        return self.read("part").where("p_partkey % 10 <> 0").selectExpr(
-            "CAST(p_partkey AS STRING) AS product_code",
+        """Products, some under a code that no fact uses, so that some facts have none; and null and blank panels."""
+        return self.read("part").selectExpr(
+            "CASE WHEN p_partkey % 10 = 0 THEN concat('X', CAST(p_partkey AS STRING)) ELSE CAST(p_partkey AS STRING) END AS product_code",
             "p_name AS device_name",
             "CASE WHEN p_size = 50 THEN NULL WHEN p_size = 49 THEN '' ELSE p_brand END AS review_panel",
             "CAST(p_size % 3 + 1 AS STRING) AS device_class",

@@ -9,10 +9,10 @@ import re
 
 _COMMON = {
     "fx_dim": """
-        SELECT CAST(p_partkey AS VARCHAR) AS product_code, p_name AS device_name,
+        SELECT CASE WHEN p_partkey % 10 = 0 THEN concat('X', CAST(p_partkey AS VARCHAR)) ELSE CAST(p_partkey AS VARCHAR) END AS product_code, p_name AS device_name,
                CASE WHEN p_size = 50 THEN NULL WHEN p_size = 49 THEN '' ELSE p_brand END AS review_panel,
                CAST(p_size % 3 + 1 AS VARCHAR) AS device_class, p_type AS medical_specialty_description
-        FROM part WHERE p_partkey % 10 <> 0""",
+        FROM part""",
     "fx_events": """
         SELECT concat(CAST(l_orderkey AS VARCHAR), '_', CAST(l_linenumber AS VARCHAR)) AS event_record_id,
                CAST(l_orderkey AS VARCHAR) AS mdr_report_key, CAST(l_shipdate AS DATE) AS date_received,
@@ -660,6 +660,8 @@ _BODIES = {
     "single_document_scan": """SELECT concat('/in/', lpad(CAST(s_suppkey AS VARCHAR), 8, '0'), '.json') AS file, CAST(0 AS INTEGER) AS member, CAST(0 AS BIGINT) AS pos,
         s_suppkey AS k, s_name AS name, CAST(s_nationkey AS BIGINT) AS nation FROM supplier""",
     "lookup_scan": "SELECT * FROM code_lookup",
+    "date_readability": """SELECT count(*) AS records, CAST(0 AS BIGINT) AS missing, count(*) FILTER (WHERE day IS NULL) AS unreadable,
+        count(*) FILTER (WHERE year(day) NOT BETWEEN 1996 AND 2000) AS outside, count(*) FILTER (WHERE year(day) BETWEEN 1996 AND 2000) AS kept FROM raw_recalls""",
     "mart_order": """SELECT 'mart_panel_year' AS mart, review_panel AS first_key, year, CAST(row_number() OVER (ORDER BY review_panel NULLS LAST, year) AS INTEGER) AS place FROM m_panel
         UNION ALL SELECT 'mart_product_code_year', product_code, year, CAST(row_number() OVER (ORDER BY product_code NULLS LAST, year) AS INTEGER) FROM m_product""",
     "junk_code_filter": """SELECT p_partkey, CASE WHEN p_size % 5 > 2 THEN concat('-', p_brand) END AS product_code FROM part WHERE p_size % 5 > 1""",

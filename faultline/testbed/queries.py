@@ -440,6 +440,11 @@ def zip_scan(t: Tables) -> DataFrame:
     return records.read_records(t.order_files(zipped=True), zipped=True)
 
 
+@query
+def date_readability(t: Tables) -> DataFrame:
+    return clean.date_readability(t.recall_records(), "recall_initiation_date", SETTINGS)
+
+
 @query
 def single_document_scan(t: Tables) -> DataFrame:
     """Documents that may be an object of columns instead of a list of records; the records' values are read."""

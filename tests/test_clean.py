@@ -131,3 +131,10 @@ def test_build_dim_product(spark):
 def test_no_python_in_the_clean_layer(spark):
     plan = clean.clean_adverse_events(raw(spark, report()))._jdf.queryExecution().optimizedPlan().toString()
     assert "Python" not in plan and "MapInPandas" not in plan
+
+
+def test_date_readability(spark):
+    days = ["20220401", "2022-04-02", "BADDATE", "", None, "2001-01-01", "1/2/2023"]
+    rows = [("f.json", 0, k, json.dumps({"d": d} if d is not None else {})) for k, d in enumerate(days)]
+    found = clean.date_readability(spark.createDataFrame(rows, schemas.RAW_RECORD), "d")
+    assert tuple(found.first()) == (7, 2, 1, 1, 3)

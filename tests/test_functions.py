@@ -18,12 +18,12 @@ def test_company_key(spark):
     assert values(spark, names, text.company_key) == [
         "ACME", "ACME", "TEST", "JOHNSON AND JOHNSON", "", "", "COCA COLA", "A B", "",
     ]
-    assert values(spark, ["", None, "Acme LLC"], text.applicant_key) == [None, None, "ACME"]
+    assert values(spark, ["", None, "Lindmoor LLC"], text.applicant_key) == [None, None, "LINDMOOR"]
 
 
 def test_denoise_description(spark):
     cases = {
-        "Baxter Infusion Pump, Item Number 502015637, Model XR-100": "Baxter Infusion Pump,",
+        "Orlen Tidal Rack, Item Number 4471, Model QZ-8": "Orlen Tidal Rack,",
         "NanoClave Manifold UDI: (01)10840619083929(17)220729": "NanoClave Manifold UDI:",
         "Surgical Gown Lot Number: 4496182. Non-Sterile": "Surgical Gown Non-Sterile",
         "Step Drill 2.5-3.9x124mm, 16mm stop, contra-angle": "Step Drill , stop, contra-angle",

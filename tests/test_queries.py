@@ -11,7 +11,7 @@ from faultline.testbed.adapters import Tables
 FOLDER = "/root/testdata/sf0.001"
 SAMPLE = [
     "mart_panel_year", "mart_product_year", "mart_firm_product_year", "version_rank_split", "clean_adverse_events", "clean_recalls",
-    "methodology_metrics", "qa_summary", "event_stage_checks", "recall_stage_checks", "qa_uniqueness", "qa_null_rate", "qa_grain", "single_document_scan", "lookup_scan", "mart_order", "export_all", "pareto_products", "manufacturer_alias", "fuzzy_recall_mapping", "best_text_match", "token_set", "similarity_in_sql", "kpis_in_sql",
+    "methodology_metrics", "qa_summary", "event_stage_checks", "recall_stage_checks", "qa_uniqueness", "qa_null_rate", "qa_grain", "date_readability", "single_document_scan", "lookup_scan", "mart_order", "export_all", "pareto_products", "manufacturer_alias", "fuzzy_recall_mapping", "best_text_match", "token_set", "similarity_in_sql", "kpis_in_sql",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="benchmark tables not present")
