@@ -12,6 +12,7 @@ from faultline.functions.text import company_key, denoise_description
 from faultline.operators.best_match import best_match
 from faultline.operators.joins import flag_members
 from faultline.operators.leaders import candidate_pairs, greedy_leaders
+from faultline.session import stored
 
 
 def all_above(queries: DataFrame, choices: DataFrame, key: str, text: str, cutoff: float) -> DataFrame:
@@ -105,6 +106,8 @@ def map_recalls(
     """
     flagged = flag_members(recalls, "product_code", dim, "product_code", "_exact")
     cleaned = flagged.withColumn("_text", F.when(~F.col("_exact"), denoise_description(F.col("product_description"))))
+    # Stored: cleaning is the costly part, and its result is used twice.
+    cleaned = stored(cleaned)
     texts = cleaned.select("_text").where("_text <> ''").distinct()
     matches = best_match(
         texts, "_text", match_names(dim, order), name="device_name", code="code", place="first_place",

@@ -96,13 +96,13 @@ class Tables:
         )
 
     def described_recalls(self) -> DataFrame:
-        """Recalls to be mapped: some codes unknown, descriptions with noise, reordered and misspelt names."""
+        """Recalls to be mapped: some codes unknown, descriptions with noise, reordered and misspelt names; spread as a scan of files is."""
         lines = self.read("lineitem")
         return lines.join(self.read("part"), F.col("l_partkey") == F.col("p_partkey")).selectExpr(
             "concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) AS recall_number",
             "CASE WHEN l_partkey % 3 = 0 THEN CAST(l_partkey AS STRING) WHEN l_partkey % 3 = 1 THEN 'none' END AS product_code",
             _DESCRIPTION + " AS product_description",
-        )
+        ).repartition("recall_number")
 
     # Raw records
 
