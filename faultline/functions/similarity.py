@@ -7,6 +7,7 @@ an Arrow batch at once, with as many 64-bit words a pair as its shorter string n
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -80,10 +81,54 @@ def lcs_lengths(left: list[str], right: list[str], cells: int = 8192 * _WORD) ->
     return out
 
 
+def _shared_ends(texts: list[str]) -> tuple[int, int]:
+    """Lengths of the prefix and the suffix that all texts share, without overlap."""
+    head = len(os.path.commonprefix([min(texts), max(texts)]))
+    tails = [t[head:][::-1] for t in texts]
+    return head, len(os.path.commonprefix([min(tails), max(tails)]))
+
+
+def lcs_table(left: list[str], right: list[str]) -> np.ndarray:
+    """Longest common subsequence of every left text with every right one; each side's texts are of one length.
+
+    What all texts begin and end with is common to every pair and set aside. The rest of a left text becomes a bit mask per
+    character, and all right texts step through the recurrence together.
+    """
+    head, tail = _shared_ends(left + right)
+    rests = [[t[head : len(t) - tail] for t in side] for side in (left, right)]
+    m, n = len(rests[0][0]), len(rests[1][0])
+    if m > n:
+        return lcs_table(right, left).T
+    if m > _WORD:
+        return head + tail + np.array([lcs_lengths([t] * len(right), rests[1]) for t in rests[0]])
+    letters, codes = np.unique(np.frombuffer("".join(rests[0] + rests[1]).encode("utf-32-le", "surrogatepass"), np.uint32), return_inverse=True)
+    a = codes[: m * len(left)].reshape(len(left), m)
+    b = np.ascontiguousarray(codes[m * len(left) :].reshape(len(right), n).T)
+    bits = np.uint64(1) << np.arange(m, dtype=np.uint64)
+    out = np.empty((len(left), len(right)), dtype=np.int32)
+    hit, total = np.empty(len(right), np.uint64), np.empty(len(right), np.uint64)
+    for i in range(len(left)):
+        masks = np.zeros(max(1, len(letters)), np.uint64)
+        np.bitwise_or.at(masks, a[i], bits)
+        rest = np.full(len(right), 0xFFFFFFFFFFFFFFFF, dtype=np.uint64)
+        for column in b:
+            np.take(masks, column, out=hit, mode="clip")
+            np.bitwise_and(rest, hit, out=hit)
+            np.add(rest, hit, out=total)
+            np.subtract(rest, hit, out=rest)
+            np.bitwise_or(rest, total, out=rest)
+        out[i] = _WORD - np.bitwise_count(rest)
+    return out + (head + tail)
+
+
+def score_of(total: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """``ratio`` from the summed length and the common subsequence."""
+    return np.where(total > 0, (1.0 - (total - 2 * common) / np.maximum(total, 1)) * 100.0, 100.0)
+
+
 def ratios(left: list[str], right: list[str]) -> np.ndarray:
     total = np.fromiter((len(a) + len(b) for a, b in zip(left, right)), np.int64, len(left))
-    distance = total - 2 * lcs_lengths(left, right)
-    return np.where(total > 0, (1.0 - distance / np.maximum(total, 1)) * 100.0, 100.0)
+    return score_of(total, lcs_lengths(left, right))
 
 
 def token_set_score(tokens_a: set[str], tokens_b: set[str]) -> float:

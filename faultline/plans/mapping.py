@@ -7,26 +7,27 @@ from pyspark.sql import functions as F
 
 from faultline.config import DEFAULTS
 from faultline.fixed_values import TIER_EXACT, TIER_HIGH, TIER_LOW, TIER_NONE
-from faultline.functions.similarity import ratio, sorted_form, token_sort_ratio
+from faultline.functions.similarity import sorted_form, token_sort_ratio
 from faultline.functions.text import company_key, denoise_description
 from faultline.operators.best_match import best_match
 from faultline.operators.joins import flag_members
-from faultline.operators.leaders import candidate_pairs, greedy_leaders
+from faultline.operators.leaders import greedy_leaders, scored_pairs
 from faultline.session import stored
 
 
 def all_above(queries: DataFrame, choices: DataFrame, key: str, text: str, cutoff: float) -> DataFrame:
     """All choices that score at least ``cutoff`` for each query, by token-sort ratio: (query_key, choice_key, score).
 
-    Both sides have columns ``key`` and ``text``. Candidates are joined on pieces of the token-sorted forms, which no
-    pair that reaches the cutoff can miss, so every choice is considered and no cross join is needed.
+    Both sides have columns ``key`` and ``text``. Every choice is considered: distinct token-sorted forms are compared by
+    ``scored_pairs``, and their numbers joined to the keys.
     """
     q = queries.select(F.col(key).alias("query_key"), sorted_form(F.col(text)).alias("form"))
-    c = choices.select(F.col(key).alias("choice_key"), sorted_form(F.col(text)).alias("other"))
-    left, right = q.select("form").distinct(), c.select(F.col("other").alias("form")).distinct()
-    scored = candidate_pairs(left, right, cutoff).withColumn("score", ratio(F.col("form"), F.col("other"))).where(F.col("score") >= cutoff)
-    equal = left.join(right, "form").select("form", F.col("form").alias("other"), F.lit(100.0).alias("score"))
-    return q.join(scored.unionByName(equal), "form").join(c, "other").select("query_key", "choice_key", "score")
+    c = choices.select(F.col(key).alias("choice_key"), sorted_form(F.col(text)).alias("form"))
+    left, right = (stored(side.select("form").where("form IS NOT NULL").distinct().withColumn("id", F.monotonically_increasing_id())) for side in (q, c))
+    scored = scored_pairs(left, right, cutoff)
+    asked = q.join(left, "form").select("query_key", F.col("id").alias("left_id"))
+    known = c.join(right, "form").select("choice_key", F.col("id").alias("right_id"))
+    return asked.join(scored, "left_id").join(known, "right_id").select("query_key", "choice_key", "score")
 
 
 def flag_top_with_ties(df: DataFrame, among, measure: str, n: int, flag: str) -> DataFrame:

@@ -3,9 +3,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from faultline.functions.similarity import ratios, token_set_score
+from faultline.functions.similarity import lcs_lengths, lcs_table, ratios, token_set_score
+from faultline.operators import leaders
 from faultline.operators.best_match import best_match
-from faultline.operators.leaders import candidate_pairs, elect, greedy_leaders, similar_pairs
+from faultline.operators.leaders import candidate_pairs, elect, greedy_leaders, scored_pairs, similar_pairs
 from faultline.plans import mapping
 
 
@@ -90,6 +91,43 @@ def test_candidates_miss_no_similar_pair(spark, threshold):
             assert (a, b) in found
 
 
+@pytest.mark.parametrize("a, b", [(9, 12), (12, 9), (70, 64), (70, 80), (0, 5), (0, 0)])
+def test_table_of_common_subsequences(a, b):
+    rng = random.Random(a * 100 + b)
+    sides = [["Ab" * k + "".join(rng.choice("ABC\U0001f600") for _ in range(size)) + "z" * k for _ in range(7)] for size in (a, b) for k in (3,)]
+    expected = [lcs_lengths([x] * 7, sides[1]).tolist() for x in sides[0]]
+    assert lcs_table(*sides).tolist() == expected
+
+
+@pytest.mark.parametrize("dense", [0, 10, 10**9])
+@pytest.mark.parametrize("threshold", [90, 75, 50])
+def test_joined_and_compared_pairs_are_all_similar_pairs(spark, monkeypatch, dense, threshold):
+    monkeypatch.setattr(leaders, "DENSE", dense)
+    monkeypatch.setattr(leaders, "BLOCK", 5)
+    names = [*variants(random.Random(threshold), 90), "", *[f"SUPPLIER {i:06}" for i in range(20)]]
+    left, right = (spark.createDataFrame([(i, n) for i, n in enumerate(side)], "id long, form string") for side in (names, names[::2]))
+    found = sorted(tuple(r) for r in scored_pairs(left, right, threshold).collect())
+    expected = []
+    for i, a in enumerate(names):
+        scores = ratios([a] * len(names[::2]), names[::2])
+        expected += [(i, j, float(s)) for j, s in enumerate(scores) if s >= threshold]
+    assert found == expected
+    nodes = left.select("form", F.col("id").alias("rank"))
+    pairs = sorted((r.first_rank, r["second"]) for r in similar_pairs(nodes, threshold).collect())
+    scores = {i: ratios([a] * len(names), names) for i, a in enumerate(names)}
+    assert pairs == sorted((i, names[j]) for i in scores for j in range(i + 1, len(names)) if scores[i][j] >= threshold)
+
+
+def test_common_pieces_make_no_quadratic_join(spark):
+    """Names that differ in a few digits share most pieces: they are compared in blocks, and no pair is joined to be checked."""
+    form = F.format_string("%09d SUPPLIER", F.col("id"))
+    nodes = spark.range(3000).select("id", form.alias("form"))
+    lengths = leaders._planned(nodes, nodes, 90, 0)
+    assert [tuple(r) for r in lengths.collect()] == [(18, 18, 3000, 3000, True)]
+    diverse = spark.range(3000).select("id", F.substring(F.md5(F.col("id").cast("string")), 1, 18).alias("form"))
+    assert [r.dense for r in leaders._planned(diverse, diverse, 90, 0).collect()] == [False]
+
+
 def test_manufacturer_alias(spark):
     names = ["BORVIK INC"] * 5 + ["BORVIK CORP"] * 2 + ["HALDEXONA"] * 4 + ["HALDEXONAS PLC", "ZARNOW LABS", None, "ZARNOW LABS", "Labs Zarnow"]
     events = spark.createDataFrame([(n,) for n in names], "manufacturer_d_name string")
