@@ -77,6 +77,8 @@ def manufacturer_alias(
             F.struct((-F.col("n")).alias("minus_n"), "raw_name").alias("rank"),
         )
     )
+    # Stored: counting the names reads all events, and the names are used again for every label.
+    names = stored(names)
     nodes = names.groupBy("form").agg(F.min("rank").alias("rank"))
     clusters = greedy_leaders(nodes, threshold)
     labels = nodes.select(F.col("form").alias("leader"), F.col("rank.raw_name").alias("standardized_name"))
