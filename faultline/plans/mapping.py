@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from faultline.config import DEFAULTS
 from faultline.fixed_values import TIER_EXACT, TIER_HIGH, TIER_LOW, TIER_NONE
-from faultline.functions.similarity import sorted_form, token_sort_ratio
+from faultline.functions.similarity import best_choice, sorted_form, token_sort_ratio
 from faultline.functions.text import company_key, denoise_description
 from faultline.operators.best_match import best_match
 from faultline.operators.joins import flag_members
@@ -30,6 +30,29 @@ def all_above(queries: DataFrame, choices: DataFrame, key: str, text: str, cutof
     return asked.join(scored, "left_id").join(known, "right_id").select("query_key", "choice_key", "score")
 
 
+def best_others(names: DataFrame, key: str, text: str, cutoff: float, step: float = 5.0, digits: int = 6) -> DataFrame:
+    """For each name the best of all names under other keys, if it scores ``cutoff`` or more: (query_key, choice_key, score).
+
+    Scores are rounded to ``digits``; of equal ones the lowest key wins. Cutoffs go down from 100 by steps, and a name
+    whose best is above the cutoff is not asked again: the many pairs far below the best are never put out.
+    """
+    asked = stored(names.select(key, sorted_form(F.col(text)).alias(text)).where(F.col(key).isNotNull()))
+    # of the keys under one form only the two lowest can be the best other key of any name
+    place = F.row_number().over(Window.partitionBy(text).orderBy(key))
+    names = stored(asked.where(F.col(text).isNotNull()).distinct().withColumn("_place", place).where("_place <= 2").select(key, text))
+    found, level = None, 100.0
+    while found is None or (level > cutoff and not asked.isEmpty()):
+        level = max(cutoff, level - step)
+        others = all_above(asked, names, key, text, level).where("query_key <> choice_key").withColumn("score", F.round("score", digits))
+        best = best_choice(others, "query_key", "choice_key", "score", "choice_key", level)
+        if level > cutoff:
+            # what rounds to the cutoff may tie with a score just below it
+            best = stored(best.where(F.col("score") > level + 10.0**-digits))
+            asked = stored(asked.join(best.select(F.col("query_key").alias(key)), key, "left_anti"))
+        found = best if found is None else found.unionByName(best)
+    return found
+
+
 def flag_top_with_ties(df: DataFrame, among, measure: str, n: int, flag: str) -> DataFrame:
     """Flag rows of ``among`` whose measure reaches the n-th largest one there; ties are all in."""
     top = df.where(among).select(measure).orderBy(F.desc(measure)).limit(n)

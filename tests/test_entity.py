@@ -128,6 +128,21 @@ def test_common_pieces_make_no_quadratic_join(spark):
     assert [r.dense for r in leaders._planned(diverse, diverse, 90, 0).collect()] == [False]
 
 
+@pytest.mark.parametrize("cutoff", [90, 60])
+def test_best_others_equals_brute_force(spark, cutoff):
+    names = [*variants(random.Random(cutoff), 50), "", "", "ABC DE", "DE ABC"]
+    rows = [(i // 2 * 2 if i % 10 == 1 else i, n) for i, n in enumerate(names)] + [(None, names[0]), (900, None)]
+    found = sorted(tuple(r) for r in mapping.best_others(spark.createDataFrame(rows, "k int, name string"), "k", "name", cutoff).collect())
+    best = {}
+    for k, a in rows:
+        for other, b in rows:
+            if None not in (k, other, a, b) and k != other:
+                score = round(float(ratios([" ".join(sorted(a.split()))], [" ".join(sorted(b.split()))])[0]), 6)
+                if score >= cutoff:
+                    best[k] = max(best.get(k, (0, 0)), (score, -other))
+    assert found == sorted((k, -other, score) for k, (score, other) in best.items())
+
+
 def test_manufacturer_alias(spark):
     names = ["BORVIK INC"] * 5 + ["BORVIK CORP"] * 2 + ["HALDEXONA"] * 4 + ["HALDEXONAS PLC", "ZARNOW LABS", None, "ZARNOW LABS", "Labs Zarnow"]
     events = spark.createDataFrame([(n,) for n in names], "manufacturer_d_name string")
