@@ -3,6 +3,7 @@ import json
 import os
 import zipfile
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -49,6 +50,27 @@ def test_zip_scan(spark, tmp_path, rows):
     assert rows(got) == [("a.zip", 0, 0, "1"), ("a.zip", 1, 1, "2"), ("b.zip", 0, 0, "3")]
 
 
+@pytest.mark.parametrize("zipped", [False, True])
+def test_small_files_share_a_batch(zipped, monkeypatch):
+    """Files of a few records go out together, large ones in parts; places stay those within the file."""
+    monkeypatch.setattr(records, "_ROWS", 100)
+
+    def content(n):
+        document = json.dumps([{"k": k} for k in range(n)]).encode()
+        if not zipped:
+            return document
+        with zipfile.ZipFile(packed := io.BytesIO(), "w") as archive:
+            archive.writestr("data.json", document)
+        return packed.getvalue()
+
+    sizes = [2, 0, 1, 3] * 10 + [150]
+    given = [pa.RecordBatch.from_pydict({"path": [str(i)], "content": [content(n)]}) for i, n in enumerate(sizes)]
+    found = list(records._cut(iter(given), zipped, False))
+    assert [b.num_rows for b in found] == [100, 100, 10]
+    rows = [tuple(r.values()) for b in found for r in b.to_pylist()]
+    assert rows == [(str(i), 0, k, json.dumps({"k": k})) for i, n in enumerate(sizes) for k in range(n)]
+
+
 def test_missing_folder_gives_no_rows(spark, tmp_path):
     for found in (records.scan_zips(spark, str(tmp_path / "none")), records.scan_documents(spark, str(tmp_path), "recalls_*.json")):
         assert found.columns == RAW_RECORD.names and found.count() == 0
