@@ -97,6 +97,9 @@ def clean_adverse_events(records: DataFrame, *, grain: str = "device", hot_rows:
     One shuffle on the report key serves both the outcome flags (true if true in any version) and the
     version rank.
     """
+    # Out of a generator, whose columns are not pruned: all uses read the same columns, so a shuffle that spread the records
+    # is made once and read by each of them.
+    records = records.select(F.inline(F.array(F.struct("file", "pos", "record"))))
     typed = flatten_devices(records).withColumns(
         {
             "date_received": compact_date(F.col("date_received")),

@@ -138,3 +138,15 @@ def test_date_readability(spark):
     rows = [("f.json", 0, k, json.dumps({"d": d} if d is not None else {})) for k, d in enumerate(days)]
     found = clean.date_readability(spark.createDataFrame(rows, schemas.RAW_RECORD), "d")
     assert tuple(found.first()) == (7, 2, 1, 1, 3)
+
+
+def test_records_are_spread_once(spark):
+    """The key scan, the hot branch and the rows read one shuffle of the records."""
+    records = raw(spark, report()).repartition("file")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = clean.clean_adverse_events(records)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    by_file = [line for line in plan.splitlines() if "hashpartitioning(file" in line]
+    assert len([line for line in by_file if "ReusedExchange" not in line]) == 1 and len(by_file) > 1, plan
