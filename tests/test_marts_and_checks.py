@@ -69,6 +69,12 @@ def test_product_mart(layer):
     assert found["ABC", 2022]["recall_to_event_ratio"] == pytest.approx(1 / 3)
 
 
+def test_panel_and_product_marts_read_stored_counts(layer):
+    """The facts are united and rolled up once, not by every reader of the two marts."""
+    for name in ("mart_panel_year", "mart_product_code_year"):
+        assert "Union" not in built(layer)[name]._jdf.queryExecution().optimizedPlan().toString(), name
+
+
 def test_firm_mart(layer):
     found = {(r["manufacturer"], r["product_code"], r["year"]): r for r in built(layer)["mart_firm_product_year"].collect()}
     assert ("Alder", None, 2022) in found and found["Alder", None, 2022]["firm_share_within_product"] is None
